@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: 64-bit fingerprints compared exactly, tile against tile."""
+"""SimHash near-duplicates: fingerprints of 64 bits or a multiple compared exactly, tile against tile."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clipwright.llm.components import connected_components, merge_labels
+from clipwright.llm.permute import mix64
 from clipwright.llm.shared import materialize, skew_safe_lookup
 
 #: Cells of one exclusive-or matrix held at a time.
@@ -20,83 +21,93 @@ CELLS = 1 << 21
 BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle_words: int = 3) -> int:
-    """64-bit SimHash of a text, unsigned; no words: 0."""
+def fingerprint(text: str | None, shingle_words: int = 3, width: int = 1) -> np.ndarray:
+    """SimHash of a text as `width` unsigned 64-bit words; no words: zeros.
+
+    The first word takes its votes from the shingles' XXH64, further words from rehashes of it.
+    """
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both touch ASCII only
     if not words:
-        return 0
+        return np.zeros(width, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle_words + 1)
     starts, ends = starts[:n].tolist(), ends[-n:].tolist()
-    digest, over = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    digest, over = xxhash.xxh64_intdigest, np.zeros((width, 64), np.int64)
     for k in range(0, n, BLOCK):
-        part = [digest(line[s:e], 42) for s, e in zip(starts[k : k + BLOCK], ends[k : k + BLOCK])]
-        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        over += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(over * 2 > n, bitorder="little").view("<u8")[0])
+        part = np.array([digest(line[s:e], 42) for s, e in zip(starts[k : k + BLOCK], ends[k : k + BLOCK])], "<u8")
+        for w in range(width):
+            votes = mix64(part + np.uint64(w)) if w else part
+            over[w] += np.unpackbits(votes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(over * 2 > n, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp: the fingerprint's 64 bits as a signed long), one row per input row."""
+def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, width: int = 1) -> DataFrame:
+    """(doc_id, fp: the fingerprint's words, big-endian, ones: its population count), one row per input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle_words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            fps = [fingerprint(t.as_py(), shingle_words, width) for t in batch.column(1)]
+            ones = [int(np.bitwise_count(f).sum()) for f in fps]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(">u8").tobytes() for f in fps], pa.binary()), pa.array(ones, pa.int32())], ["doc_id", "fp", "ones"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp binary, ones int")
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (into a, into b) of fingerprints that differ in at most `radius` bits; same: a is b, each pair once."""
+def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, first: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (into a, into b) of fingerprints (rows of words) that differ in at most `radius` bits, and at most
+    `first` of them in the first word; same: a is b, each pair once."""
     step = max(1, CELLS // max(1, len(b)))
+    lead = np.ascontiguousarray(b[:, 0])
     for k in range(0, len(a), step):
-        i, j = np.nonzero(np.bitwise_count(a[k : k + step, None] ^ b[None, :]) <= radius)
+        i, j = np.nonzero(np.bitwise_count(a[k : k + step, :1] ^ lead) <= first)
         i += k
         if same:
             i, j = i[i < j], j[i < j]
+        if a.shape[1] > 1 or first > radius:
+            near = np.bitwise_count(a[i] ^ b[j]).sum(axis=1) <= radius
+            i, j = i[near], j[near]
         if len(i):
             yield i, j
 
 
-def linked(nodes: DataFrame, radius: int, tile_rows: int) -> DataFrame:
-    """nodes (fp unique, rep) to edges (a, b) between reps: a spanning forest of every compared pair of tiles' links.
+def linked(nodes: DataFrame, radius: int, tile_rows: int, width: int = 1, first: int | None = None) -> DataFrame:
+    """nodes (fp unique, ones, rep) to edges (a, b) between reps: a spanning forest of every compared pair of tiles' links.
 
     A tile holds fingerprints of one population count, which bounds the distance from below: only tiles whose counts
     are within `radius` meet.
     """
-    counts = dict(nodes.groupBy(F.bit_count("fp").alias("ones")).count().collect())  # 65 rows at most
+    top = 64 * width + 1
+    counts = dict(nodes.groupBy("ones").count().collect())  # a row per population count
     total = sum(counts.values())
     rows = max(tile_rows, min(1 << 18, total // 512))
-    tiles = [-(-counts.get(k, 0) // rows) for k in range(65)]
+    tiles = [-(-counts.get(k, 0) // rows) for k in range(top)]
     base = np.concatenate(([0], np.cumsum(tiles))).astype(int).tolist()
     at = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("ones") + 1)
-    dealt = nodes.withColumn("ones", F.bit_count("fp").cast("int"))
-    dealt = dealt.withColumns({
-        "tile": at(base[:65]) + F.pmod(F.xxhash64("fp"), at([max(1, t) for t in tiles])).cast("int"),
-        "low": at([base[max(0, k - radius)] for k in range(65)]),
-        "high": at([base[min(65, k + radius + 1)] - 1 for k in range(65)]),
+    dealt = nodes.withColumns({
+        "tile": at(base[:top]) + F.pmod(F.xxhash64("fp"), at([max(1, t) for t in tiles])).cast("int"),
+        "low": at([base[max(0, k - radius)] for k in range(top)]),
+        "high": at([base[min(top, k + radius + 1)] - 1 for k in range(top)]),
     })
     packed = dealt.groupBy("tile", "low", "high").agg(F.collect_list("fp").alias("fps"), F.collect_list("rep").alias("reps"))
     met = packed.select("tile", "fps", "reps", F.explode(F.sequence("low", "high")).alias("other"))
     met = met.select("tile", "fps", "reps", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
-    pairs = sum(base[min(65, k + radius + 1)] - base[k] for k in range(65) for _ in range(tiles[k]))
+    pairs = sum(base[min(top, k + radius + 1)] - base[k] for k in range(top) for _ in range(tiles[k]))
     parts = max(nodes.sparkSession.sparkContext.defaultParallelism * 2, min(4000, pairs // 16))
 
     def compare(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
         same = key[0] == key[1]
-        sides = [(np.asarray(f, np.int64).view(np.uint64), np.asarray(r, np.int64)) for f, r in zip(tile["fps"], tile["reps"])]
+        sides = [(np.frombuffer(b"".join(map(bytes, f)), ">u8").astype(np.uint64).reshape(-1, width), np.asarray(r, np.int64)) for f, r in zip(tile["fps"], tile["reps"])]
         if len(sides) < 2 and not same:
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         (a, reps), (b, others) = sides[0], sides[-1]
         shift = 0 if same else len(a)
         reps = reps if same else np.concatenate((reps, others))
         labels = np.arange(len(reps))
-        for i, j in near_pairs(a, b, radius, same):
+        for i, j in near_pairs(a, b, radius, radius if first is None else first, same):
             merge_labels(labels, i, j + shift)
         tied = np.nonzero(labels != np.arange(len(labels)))[0]
         return pd.DataFrame({"a": reps[tied], "b": reps[labels[tied]]})
@@ -104,25 +115,33 @@ def linked(nodes: DataFrame, radius: int, tile_rows: int) -> DataFrame:
     return met.repartition(parts, "x", "y").groupBy("x", "y").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, tile_rows: int = 8192) -> DataFrame:
-    """One row per input row: doc_id, fingerprint (16 hex digits), component_id, fp.
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, width: int = 1, first: int | None = None, tile_rows: int = 8192) -> DataFrame:
+    """One row per input row: doc_id, fingerprint (16 hex digits for each of `width` words), component_id.
 
-    Fingerprints link at `radius` or fewer differing bits; component_id is the smallest doc_id reachable, the row's own
-    included. Null and wordless texts have fingerprint zero and link like any other. A row without doc_id takes part,
-    and names no component. Equal fingerprints are one node, so groups of copies cost one comparison. The comparison is
-    exact and grows with the square of the number of distinct fingerprints.
+    Fingerprints link at `radius` or fewer differing bits (and `first` or fewer in the first word, if given);
+    component_id is the smallest doc_id reachable, the row's own included. Null and wordless texts have fingerprint zero
+    and link like any other. A row without doc_id takes part, and names no component. Equal fingerprints are one node,
+    so groups of copies cost one comparison. The comparison is exact and grows with the square of the number of distinct
+    fingerprints.
     """
-    prints = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words), "fingerprints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "fingerprint-nodes")
-    found = connected_components(linked(nodes.where("rep is not null").select("fp", "rep"), radius, tile_rows))
+    prints = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, width=width), "fingerprints")
+    nodes = materialize(prints.groupBy("fp", "ones").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "fingerprint-nodes")
+    found = connected_components(linked(nodes.where("rep is not null").select("fp", "ones", "rep"), radius, tile_rows, width, first))
     named = nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", "n", F.coalesce("component", "rep").alias("component_id"))
     whole = skew_safe_lookup(prints, materialize(named, "fingerprint-names"), "fp", "n")
-    return whole.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "fp")
+    return whole.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3) -> DataFrame:
-    """docs with one row left of each component, the one with its smallest doc_id; rows without doc_id stay."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, radius=radius)
+def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, width: int = 4) -> DataFrame:
+    """docs with one row left of each component, the one with its smallest doc_id; rows without doc_id stay.
+
+    Texts link when their fingerprints tell of a Jaccard similarity of `similarity` or more between their shingles: such
+    sets lie at an angle of arccos(2 J / (1 + J)), of which a SimHash shows the share of half a turn as differing bits.
+    Several words of fingerprint keep the estimate sharp; the first word, with three deviations to spare, is the filter.
+    """
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    radius, first = int(share * 64 * width), int(np.ceil(64 * share + 3 * np.sqrt(64 * share * (1 - share))))
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, radius=radius, width=width, first=first)
     stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
     plan = docs.withColumn("__id", F.col(id_col).cast("long"))
     kept = plan.where("__id is not null").join(stay, F.col("__id") == F.col("__stay"), "left_semi")

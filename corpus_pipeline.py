@@ -23,8 +23,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by SimHash: five-word shingles, three differing bits."""
-    return drop_near_copies(docs, shingle_words=5)
+    """One document of each group linked by SimHash: five-word shingles, similarity 0.8 or more."""
+    return drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
