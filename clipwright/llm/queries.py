@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.llm import exact_dedup, langid, mixing, packing, simhash, substrings
+from clipwright.llm import exact_dedup, langid, mixing, packing, pii, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -37,7 +41,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
