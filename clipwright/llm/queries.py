@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.llm import exact_dedup, langid, mixing, packing, pii, simhash, substrings
+from clipwright.llm import exact_dedup, langid, mixing, packing, pii, simhash, substrings, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,13 +37,32 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op8_urls, op10_exact_dedup)}
 
 ORACLE_SQL = {
+    "op8_urls": r"""
+WITH rules(rule_host, rule_path, said) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), parsed AS (
+  SELECT row_number() OVER () AS n, page_id,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), judged AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(said, length(rule_host || rule_path)) AS said
+  FROM parsed JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+  GROUP BY n
+)
+SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM parsed LEFT JOIN judged USING (n)
+""",
     "op10_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
