@@ -40,7 +40,7 @@ def test_base_matches_plain_patterns(spark):
     texts = [None, "", "plain words only", "a@b.c_d@e.f x@y", "a@b@c.d e@f..g 日本x@é.com ñ a.b@c-d.e-f.g", "1.2.3.4.5.6.7.8 256.1.1.1 000.001.02.255 0000.0.0.0 1.2.3 99999999999999999999.1.1.1", "4111 1111 1111 1111 4111-1111-1111-1111 41111111111111112 4111  1111", "+1 (988) 555-2485 +1-2 +12 345 678 90 12 345 +", "𝔘𝔘 a@b.co 𝔘 +1 (988) 555-2485"]
     alphabet = ["0", "1", "4", "55", "255", ".", ".", "@", "-", " ", "+", "a", "b.c", "(", ")", "_", "%", "\n", "é", "𝔘", "4111111111111111"]
     texts += ["".join(rnd.choices(alphabet, k=rnd.randint(1, 60))) for _ in range(1500)]
-    texts += ["a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" + "(" * 200_000, "x@y.z " * 5_000, "a@" * 50_000, "12 " * 60_000, "@" * 100_000]
+    texts += ["a" * 10_000, "1" * 10_000, "1." * 30_000, "+1" + "(" * 200_000, "x@y.z " * 5_000, "a@" * 10_000, "12 " * 60_000, "@" * 100_000]
     check(spark, texts)
 
 
