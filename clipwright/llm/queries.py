@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.llm import exact_dedup, langid, mixing, packing, pii, simhash, substrings, urls
+from clipwright.llm import embeddings, exact_dedup, langid, mixing, packing, pii, simhash, substrings, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +41,15 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op8_urls, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op8_urls, op9_embeddings, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op8_urls": r"""
