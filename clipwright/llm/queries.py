@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.llm import embeddings, exact_dedup, langid, mixing, packing, pii, simhash, substrings, urls
+from clipwright.llm import embeddings, exact_dedup, langid, mixing, packing, pii, simhash, substrings, token_shards, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards.shards(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -49,7 +53,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op6_simhash, op7_packing, op8_urls, op9_embeddings, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op5_token_shards, op6_simhash, op7_packing, op8_urls, op9_embeddings, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op8_urls": r"""
