@@ -259,7 +259,7 @@ def answered(texts: DataFrame, width: int, counted, buckets: int, most: int) ->
     return asked.groupBy("bucket").applyInArrow(group, "chunk long, bucket int, n long, sum long, mask binary")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, most_bits: int = 28, chunk_words: int = 1 << 21) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, most_bits: int = 28, chunk_words: int = 1 << 19) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_text.
 
     Removes every word in a window of `width` words whose word sequence also starts anywhere else in docs, in the same
