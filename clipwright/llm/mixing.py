@@ -114,7 +114,7 @@ def mix(rows: DataFrame, *, weights: tuple = WEIGHTS, share: float = SHARE, repe
     low = F.greatest(F.col("from"), F.col("block") * block_words)
     high = F.least(F.col("from") + F.col("size"), (F.col("block") + 1) * block_words)
     cut = cut.select("source_index", "block", "uid", (low - F.col("from")).alias("start"), (high - low).alias("words"))
-    pieces = slots.join(cut, ["source_index", "block"]).select("shard", "slot", "source_index", "block", "repeat", "uid", "start", "words")
+    pieces = slots.join(cut.hint("merge"), ["source_index", "block"]).select("shard", "slot", "source_index", "block", "repeat", "uid", "start", "words")
     return sources.drop("source_index"), pieces
 
 
@@ -127,7 +127,7 @@ def mix_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     rows = sized(docs, id_col, text_col, source_col)
     sources, pieces = mix(rows, **options)
     taken = pieces.groupBy("uid").agg(F.sum("words").alias("taken"))
-    whole = rows.join(sources.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).join(taken, "uid", "left")
+    whole = rows.join(sources.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).join(taken.hint("merge"), "uid", "left")
     return whole.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
