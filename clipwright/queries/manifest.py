@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,9 +80,9 @@ def resume_schedule(spark, sf_dir):
     """State log to latest state, resumable clips, their work items, longest first."""
     log = fixtures.state_events(spark, sf_dir)
     todo = state.resumable(state.latest(log)).select("clip_key")
-    users = log.agg(F.count_distinct("clip_key").alias("users"))  # one row
-    clips = fixtures.clips(spark, sf_dir).crossJoin(F.broadcast(users)).withColumn("clip_key", F.col("video_id") % F.col("users"))
-    clips = clips.join(todo, "clip_key", "left_semi").drop("users")
+    users = log.agg(F.count_distinct("clip_key")).head()[0]
+    clips = fixtures.clips(spark, sf_dir).withColumn("clip_key", F.try_mod(F.col("video_id"), F.lit(users)))
+    clips = clips.join(todo, "clip_key", "left_semi")
     rows = manifest.framed(manifest.with_videos(clips, fixtures.videos(spark, sf_dir)))
     rows = rows.withColumn("clip_id", clip_id(F.col("video_id"), F.col("frame_start"), F.col("frame_end")))
     placed = manifest.schedule(rows, *TIES)

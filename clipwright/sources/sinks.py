@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,23 +16,21 @@ KEYS = ("run_id", "video_id", "clip_id")
 def write_artifact(rows: DataFrame, clips: DataFrame, root: str, name: str, parquet: ParquetConfig = ParquetConfig()) -> None:
     """Replace what the table `name` holds of the clips (run_id, video_id, clip_id) by rows; other clips stay.
 
-    A clip without rows would leave its old partition behind, so such partitions are removed first. How many rows each
-    clip has is appended to the table artifact_index.
+    A clip that now has no rows keeps its old files, as an overwrite of partitions only touches those it writes. The
+    table artifact_index says how many rows each clip had when last written, and readers go by that.
     """
-    spark = rows.sparkSession
-    counts = clips.select(*KEYS).distinct().join(rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")), list(KEYS), "left").select(*KEYS, F.lit(name).alias("artifact"), F.coalesce("n", F.lit(0)).alias("row_count"))
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for clip in counts.where("row_count = 0").select(*KEYS).toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path("/".join([root, name, *(f"{k}={clip[k]}" for k in KEYS)]))
-        path.getFileSystem(conf).delete(path, True)
+    counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    index = clips.select(*KEYS).distinct().join(counts, list(KEYS), "left").select(*KEYS, F.lit(name).alias("artifact"), F.coalesce("n", F.lit(0)).cast("long").alias("row_count"), F.lit(time.time()).alias("written_at"))
     rows.write.mode("overwrite").options(**parquet.options()).option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).parquet(f"{root}/{name}")
-    counts.write.mode("append").parquet(f"{root}/artifact_index")
+    index.write.mode("append").parquet(f"{root}/artifact_index")
 
 
 def read_artifact(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """The table, with its keys as strings; no table yet is an empty one."""
-    typed = f"{schema}, " + ", ".join(f"{k} string" for k in KEYS)
-    return spark.read.schema(typed).parquet(f"{root}/{name}")
+    """The table as last written, with its keys as strings."""
+    keys = ", ".join(f"{k} string" for k in KEYS)
+    index = spark.read.schema(f"{keys}, artifact string, row_count long, written_at double").parquet(f"{root}/artifact_index").where(F.col("artifact") == name)
+    last = index.groupBy(*KEYS).agg(F.max_by("row_count", "written_at").alias("n")).where("n = 0")
+    return spark.read.schema(f"{schema}, {keys}").parquet(f"{root}/{name}").join(last, list(KEYS), "left_anti")
 
 
 def write_json(spark: SparkSession, path: str, payload: dict) -> None:
