@@ -1,32 +1,16 @@
-"""What the operators share: tables in the shared folder, skew-safe lookups, word rules."""
+"""What the operators share: word rules and lookups that skewed keys do not slow; tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A word is a longest run of characters other than the six ASCII blanks.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from clipwright.scratch import materialize, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; only where it is unset, a local one of our own (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='clipwright-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return f"{found.rstrip('/')}/clipwright/{spark.sparkContext.applicationId}"
+__all__ = ["WORD", "materialize", "shared_dir", "skew_safe_lookup", "word_count"]
 
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage is cut, and a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: A word is a longest run of characters other than the six ASCII blanks.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def word_count(text: Column) -> Column:
