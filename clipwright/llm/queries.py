@@ -56,6 +56,38 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_pii, op2_substrings, op3_mixing, op4_langid, op5_token_shards, op6_simhash, op7_packing, op8_urls, op9_embeddings, op10_exact_dedup)}
 
 ORACLE_SQL = {
+    "op2_substrings": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT n, i, array_to_string(w[i:i + 34], ' ') AS k FROM docs, unnest(range(1, len(w) - 33)) t(i)
+), repeated AS (
+  SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY k) AS c FROM windows) WHERE c > 1
+), gone AS (
+  SELECT DISTINCT n, i + j AS p FROM repeated, range(0, 35) t(j)
+), words AS (
+  SELECT n, p, w[p] AS word FROM docs, unnest(range(1, len(w) + 1)) t(p)
+), kept AS (
+  SELECT n, count(*) AS c, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (n, p) GROUP BY n
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(c, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (n)
+""",
+    "op9_embeddings": """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), lowest AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), counts AS (SELECT x, count(*) AS c FROM links GROUP BY x)
+SELECT vec_id, coalesce(c, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN lowest ON lowest.x = vec_id LEFT JOIN counts ON counts.x = vec_id
+""",
     "op8_urls": r"""
 WITH rules(rule_host, rule_path, said) AS (
   VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
