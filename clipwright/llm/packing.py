@@ -95,8 +95,11 @@ def best_fit(counts: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     return [(content, n) for entry in bins.values() for content, n in entry.items()]
 
 
-def plan(counts: np.ndarray, rounds: int = 300, slack: float = 0.02, pace: float = 12.0) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations and how many sequences hold each; every length l occurs counts[l] times in all."""
+def plan(counts: np.ndarray, rounds: int = 150, slack: float = 0.02, pace: float = 12.0) -> list[tuple[tuple[int, ...], int]]:
+    """Configurations and how many sequences hold each; every length l occurs counts[l] times in all.
+
+    Each round prices one best configuration around every length, so there are at most rounds * capacity of them.
+    """
     left = np.asarray(counts, np.int64).copy()
     if not left.any():
         return []
@@ -167,7 +170,7 @@ def pack(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cap
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in stored.groupBy("length").count().collect():  # a row per length
         counts[length] = n
-    table = spark.sparkContext.broadcast(places(plan(counts)))  # grows with the number of lengths only
+    table = spark.sparkContext.broadcast(places(plan(counts)))  # bounded by the rounds and the number of lengths, some 200,000 rows
 
     segments = max(256, int(counts.sum()) // 100_000)
     dealt = stored.withColumn("segment", F.pmod(F.xxhash64("uid"), F.lit(segments)))
