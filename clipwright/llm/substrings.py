@@ -27,6 +27,8 @@ SPAN = 1 << 20
 SLICE = 22
 #: The sketch's rows.
 DEPTH = 2
+#: Partial sketches of a slice that one task merges, in later rounds.
+FAN = 64
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
@@ -98,8 +100,13 @@ def cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
     return [((keys if r == 0 else mix64(keys + np.uint64(r))) >> np.uint64(64 - bits)).astype(np.int64) for r in range(DEPTH)]
 
 
-def packed(sorted_cells: np.ndarray) -> bytes:
-    """Ascending numbers as byte planes of their differences, which compress well."""
+def packed(sorted_cells: np.ndarray, size: int = 0) -> bytes:
+    """Ascending numbers below `size` as byte planes of their differences, which compress well, or as bits if that is
+    shorter."""
+    if size and len(sorted_cells) > size // 8:
+        on = np.zeros(size, bool)
+        on[sorted_cells] = True
+        return b"\0" + np.packbits(on, bitorder="little").tobytes()
     steps = np.diff(sorted_cells, prepend=0)
     kind = "<u2" if len(steps) == 0 or steps.max() < 1 << 16 else "<u4"
     return bytes([int(kind[-1])]) + steps.astype(kind).view(np.uint8).reshape(-1, int(kind[-1])).T.tobytes()
@@ -107,6 +114,8 @@ def packed(sorted_cells: np.ndarray) -> bytes:
 
 def unpacked(blob: bytes) -> np.ndarray:
     size = blob[0]
+    if not size:
+        return np.nonzero(np.unpackbits(np.frombuffer(blob, np.uint8, offset=1), bitorder="little"))[0]
     planes = np.frombuffer(blob, np.uint8, offset=1).reshape(size, -1)
     return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{size}")[:, 0].astype(np.int64))
 
@@ -162,8 +171,11 @@ def chunks(batches: Iterator[pa.RecordBatch], width: int, most: int, hashed: boo
         yield cut()
 
 
-def sketch(texts: DataFrame, width: int, bits: int, most: int) -> Sketch:
-    """The merged sketch of all windows: local ones per chunk and slice of cells, merged by salt, then whole."""
+def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sketch:
+    """The merged sketch of all windows: local ones per chunk and slice of cells, merged FAN salts at a time.
+
+    A merged slice is no larger than its cells, so no task holds more than FAN of them, whatever the input.
+    """
     parts = 1 << max(0, bits - SLICE)
     size = 1 << min(bits, SLICE)
 
@@ -180,7 +192,7 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int) -> Sketch:
                 for p in range(parts):
                     c, m = cell[bounds[p] : bounds[p + 1]] - p * size, many[bounds[p] : bounds[p + 1]]
                     if len(c):
-                        rows.append((r * parts + p, chunk.key % 16, packed(c[~m]), packed(c[m])))
+                        rows.append((r * parts + p, ((chunk.key >> 32) * 7 + (chunk.key & 0xFFFFFFFF)) % salts, packed(c[~m], size), packed(c[m], size)))
             yield from whole(rows)
 
     def whole(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +206,7 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int) -> Sketch:
             state[unpacked(once.as_py())] += 1
             state[unpacked(more.as_py())] = 2
             np.minimum(state, 2, out=state)
-        return pa.table({"part": table.column("part")[:1], "salt": pa.array([0], pa.int32()), "once": pa.array([packed(np.nonzero(state == 1)[0])]), "more": pa.array([packed(np.nonzero(state == 2)[0])])})
+        return pa.table({"part": table.column("part")[:1], "salt": table.column("salt")[:1], "once": pa.array([packed(np.nonzero(state == 1)[0], size)]), "more": pa.array([packed(np.nonzero(state == 2)[0], size)])})
 
     def bitmap(table: pa.Table) -> pa.Table:
         more = unpacked(merged(table).column("more")[0].as_py())
@@ -204,6 +216,9 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int) -> Sketch:
 
     ddl = "part int, salt int, once binary, more binary"
     salted = texts.mapInArrow(local, ddl).groupBy("part", "salt").applyInArrow(merged, ddl)
+    while salts > FAN:
+        salts = -(-salts // FAN)
+        salted = salted.withColumn("salt", F.col("salt") % salts).groupBy("part", "salt").applyInArrow(merged, ddl)
     found = salted.groupBy("part").applyInArrow(bitmap, "part int, bits binary")
     rows = [np.zeros((1 << bits) >> 3, np.uint8) for _ in range(DEPTH)]
     for part, blob in found.toLocalIterator():  # together no more than the sketch's fixed size
@@ -273,7 +288,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     bits = min(most_bits, max(16, int(size // 6 * 4).bit_length()))
     buckets = max(8, size // 6 // (1 << 21))
-    counted = spark.sparkContext.broadcast(sketch(texts, width, bits, chunk_words))
+    salts = max(16, size // 6 // (FAN * chunk_words))
+    counted = spark.sparkContext.broadcast(sketch(texts, width, bits, chunk_words, salts))
     replies = materialize(answered(texts, width, counted, buckets, chunk_words), "substring-replies")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

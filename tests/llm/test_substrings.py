@@ -55,4 +55,17 @@ def test_words_and_packing():
     want = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text.encode())]
     assert list(zip(starts.tolist(), ends.tolist())) == want and len(set(hashes[-900_000:].tolist())) == 1
     for a in ([], [0], [5, 9, 70_000], [1, 2, 3, 4_000_000]):
-        assert unpacked(packed(np.array(a, np.int64))).tolist() == a
+        assert unpacked(packed(np.array(a, np.int64))).tolist() == a == unpacked(packed(np.array(a, np.int64), 1 << 22)).tolist()
+    assert unpacked(packed(np.arange(1, 64, 2), 64)).tolist() == list(range(1, 64, 2))
+
+
+def test_sketch_merges_in_rounds_and_never_counts_low(spark, monkeypatch):
+    from clipwright.llm import substrings
+
+    monkeypatch.setattr(substrings, "FAN", 2)
+    data = [(i, " ".join(str(k % 97) for k in range(i, i + 60))) for i in range(40)]
+    df = materialize(spark.createDataFrame(data, "doc_id long, text string").repartition(6), "test")
+    merged = substrings.sketch(df, 8, 12, 50, 9)
+    seen = Counter(int(k) for _, t in data for k in substrings.windows(words(np.frombuffer(t.encode(), np.uint8))[2], 8)[0])
+    repeated = np.array([k for k, n in seen.items() if n > 1], np.uint64)
+    assert len(repeated) and merged.repeated(repeated).all()
