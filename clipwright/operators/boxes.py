@@ -80,3 +80,9 @@ def best_match(boxes: DataFrame, known: DataFrame, threshold: float, frame: str
     near = near.withColumn("iou", iou(columns("k"), columns())).where((F.col("iou") >= threshold) & (F.col("iou") > 0))
     best = near.groupBy(frame, "ord").agg(F.max(F.struct("iou", (-F.col("object")).alias("old"))).alias("best"))
     return best.select(frame, "ord", (-F.col("best.old")).alias("object"), F.col("best.iou").alias("iou"))
+
+
+def detections(frames: DataFrame, frame: str = "frame_key") -> DataFrame:
+    """Rows of a detector's parallel lists, one per score: frame, ord (from 0), score, phrase (empty where missing)."""
+    rows = frames.select(frame, "phrases", F.posexplode("scores").alias("ord", "score"))
+    return rows.select(frame, "ord", "score", F.coalesce(F.get("phrases", F.col("ord")), F.lit("")).alias("phrase"))

@@ -106,3 +106,14 @@ def schedule(tasks: DataFrame, *ties: str) -> DataFrame:
     before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
     bases = sizes.withColumn("__base", before).select("__part", "__base")  # a row per range
     return rows.join(F.broadcast(bases), "__part").withColumn("place", F.col("__base") + F.col("__nth") + 1).drop("__length", "__at", "__part", "__nth", "__base")
+
+
+def scenes_between(videos: DataFrame, cuts: DataFrame, least_s: float) -> DataFrame:
+    """Scenes between cuts (video_id, at_s), none shorter than least_s from one cut to the next; videos without a cut
+    have no scene. Cuts outside the video are ignored."""
+    inside = cuts.join(videos.select("video_id", "duration_s"), "video_id").where((F.col("at_s") > 0) & (F.col("at_s") < F.col("duration_s")))
+    per = inside.groupBy("video_id").agg(F.max("duration_s").alias("duration_s"), F.array_sort(F.collect_set("at_s")).alias("cuts"))
+    taken = F.filter(spaced(F.concat(F.array(F.lit(0.0)), F.col("cuts")), least_s), lambda c: c > 0)
+    edges = per.select("video_id", F.concat(F.array(F.lit(0.0)), taken, F.array("duration_s")).alias("e"))
+    pairs = F.zip_with(F.slice("e", F.lit(1), F.size("e") - 1), F.slice("e", F.lit(2), F.size("e") - 1), lambda a, b: F.struct(a.alias("start_s"), b.alias("end_s")))
+    return edges.select("video_id", F.inline(pairs))

@@ -56,13 +56,22 @@ def best_match(spark, sf_dir):
     return found.withColumn("iou", F.round("iou", 9))
 
 
-QUERIES = {f.__name__: f for f in (box_area, iou_pairs, area_filter, topk_detections, normalize_boxes, nms, track_ids, best_match)}
+def zip_phrases(spark, sf_dir):
+    """A detector's lists of scores and phrases, the latter too short, as rows."""
+    in_order = F.array_sort(F.collect_list(F.struct("ord", "score", "phrase")))
+    lists = fixtures.boxes(spark, sf_dir).groupBy("frame_key").agg(in_order.alias("b"))
+    lists = lists.select("frame_key", F.transform("b", lambda x: x["score"]).alias("scores"), F.slice(F.transform("b", lambda x: x["phrase"]), F.lit(1), F.lit(2)).alias("phrases"))
+    return ops.detections(lists)
+
+
+QUERIES = {f.__name__: f for f in (zip_phrases, box_area, iou_pairs, area_filter, topk_detections, normalize_boxes, nms, track_ids, best_match)}
 
 _AREA = "greatest(0.0, {0}x2 - {0}x1) * greatest(0.0, {0}y2 - {0}y1)"
 _OVER = "greatest(0.0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0, least(a.y2, b.y2) - greatest(a.y1, b.y1))"
 _IOU = f"({_OVER}) / ({_AREA.format('a.')} + {_AREA.format('b.')} - ({_OVER}) + 1e-6)"
 
 SQL = {
+    "zip_phrases": f"{with_('boxes')} SELECT frame_key, ord - 1 AS ord, score, CASE WHEN ord <= 2 THEN phrase ELSE '' END AS phrase FROM boxes",
     "box_area": f"{with_('boxes')} SELECT frame_key, ord, {_AREA.format('')} AS area FROM boxes",
     "iou_pairs": f"""{with_('boxes')}
 SELECT a.frame_key, a.ord, b.ord AS other, round({_IOU}, 9) AS iou FROM boxes a JOIN boxes b ON a.frame_key = b.frame_key AND a.ord < b.ord WHERE round({_IOU}, 9) > 0""",

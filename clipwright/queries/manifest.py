@@ -107,7 +107,14 @@ def manifest_invariants(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (frame_align, clip_tasks, clip_ids, video_dedupe_last, run_manifest, scene_segments, overlap_clamp, fallback_full_clip, min_scene_merge, probe_fps_parse, resume_schedule, clip_range_extract, manifest_invariants)}
+def scene_intervals(spark, sf_dir):
+    """Scenes between cuts at least 5 s apart."""
+    at = (F.col("event_id") * 7 % 55 + 1).cast("double")
+    cuts = fixtures.table(spark, sf_dir, "events").select(F.col("user_id").alias("video_id"), at.alias("at_s"))
+    return manifest.scenes_between(fixtures.videos(spark, sf_dir), cuts, 5.0)
+
+
+QUERIES = {f.__name__: f for f in (scene_intervals, frame_align, clip_tasks, clip_ids, video_dedupe_last, run_manifest, scene_segments, overlap_clamp, fallback_full_clip, min_scene_merge, probe_fps_parse, resume_schedule, clip_range_extract, manifest_invariants)}
 
 _FRAMES = "CASE WHEN fps <= 0 THEN 0 ELSE round_even({0} * fps, 0)::INT END"
 _FRAMED = f"""framed AS (
@@ -122,6 +129,16 @@ _EXPANDED = f"""moved AS (
 _MANIFEST = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("20240101_000000", "2024-01-01T00:00:00Z", "config.json", "none", "")
 
 SQL = {
+    "scene_intervals": f"""{with_('videos', recursive=True)}, cuts AS (
+  SELECT video_id, duration_s, at_s, row_number() OVER (PARTITION BY video_id ORDER BY at_s) AS k
+  FROM (SELECT DISTINCT video_id, duration_s, (event_id * 7 % 55 + 1)::DOUBLE AS at_s FROM events JOIN videos ON video_id = user_id) WHERE at_s < duration_s
+), walk(video_id, duration_s, k, last, taken) AS (
+  SELECT video_id, duration_s, 0::BIGINT, 0.0::DOUBLE, true FROM (SELECT DISTINCT video_id, duration_s FROM cuts)
+  UNION ALL
+  SELECT w.video_id, w.duration_s, c.k, CASE WHEN c.at_s - w.last >= 5 THEN c.at_s ELSE w.last END, c.at_s - w.last >= 5
+  FROM walk w JOIN cuts c ON c.video_id = w.video_id AND c.k = w.k + 1
+)
+SELECT video_id, last AS start_s, lead(last, 1, duration_s) OVER (PARTITION BY video_id ORDER BY k) AS end_s FROM walk WHERE taken""",
     "frame_align": f"""{with_('videos', 'clips')}, {_FRAMED}
 SELECT video_id, line, start_s, end_s, frame_start, frame_end, frame_start::DOUBLE / fps AS start_aligned_s, frame_end::DOUBLE / fps AS end_aligned_s,
        abs(start_s - frame_start::DOUBLE / fps) < 1e-6 AND abs(end_s - frame_end::DOUBLE / fps) < 1e-6 AS aligned FROM framed""",

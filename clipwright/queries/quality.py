@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clipwright import fixtures
 from clipwright.fixtures import with_
 from clipwright.operators import quality as ops
+from clipwright.operators.metrics import histogram
 from clipwright.queries.masks import _counts
 from clipwright.functions.masks import rle_area
 
@@ -61,9 +62,15 @@ def throughput_buckets(spark, sf_dir):
     return fixtures.state_events(spark, sf_dir).groupBy(hour, "status").agg(F.count(F.lit(1)).alias("clips"))
 
 
-QUERIES = {f.__name__: f for f in (empty_mask_rate, empty_rate_total, empty_rates_of_nothing, distribution_stats, mask_area_distribution, failure_rate_alert, zero_streak, sliding_alert, throughput_buckets)}
+def latency_histogram(spark, sf_dir):
+    rows = histogram(_points(spark, sf_dir), "value", [5.0, 10.0, 20.0, 40.0], "event_type")
+    return rows.select("event_type", F.when(F.col("bound") < 1e9, F.col("bound")).otherwise(F.lit(-1.0)).alias("bound"), "n")
+
+
+QUERIES = {f.__name__: f for f in (latency_histogram, empty_mask_rate, empty_rate_total, empty_rates_of_nothing, distribution_stats, mask_area_distribution, failure_rate_alert, zero_streak, sliding_alert, throughput_buckets)}
 
 SQL = {
+    "latency_histogram": """SELECT event_type, b::DOUBLE AS bound, count(*) FILTER (b < 0 OR value <= b) AS n FROM events, (VALUES (5), (10), (20), (40), (-1)) t(b) GROUP BY event_type, b""",
     "empty_mask_rate": """SELECT user_id, round(coalesce(avg((value < 10)::INT) FILTER (event_type = 'view'), 1.0), 9) AS rate FROM events GROUP BY user_id""",
     "empty_rate_total": "SELECT round(coalesce(avg((value < 10)::INT), 1.0), 9) AS rate, round(sum((value < 10)::INT) / greatest(1, count(value)), 9) AS counted FROM events",
     "empty_rates_of_nothing": "SELECT 1.0::DOUBLE AS rate, 0.0::DOUBLE AS counted",

@@ -134,3 +134,43 @@ def test_streaming_streaks(spark):
         now[r.user_id] = now.get(r.user_id, 0) + 1 if r.value < 20 else 0
         want[r.user_id] = max(want.get(r.user_id, 0), now[r.user_id])
     assert got == want
+
+
+PROBE = '{"streams":[{"codec_type":"video","r_frame_rate":"%s","width":1920,"height":1080}],"format":{"duration":"10.0"}}'
+
+
+def test_building_manifests(spark):
+    from clipwright.plans.config import SceneDetectConfig
+    from clipwright.plans.manifests import build, unsound
+
+    probes = spark.createDataFrame([("/a.mp4", PROBE % "30/1"), ("/b.mp4", PROBE % "30000/1001")], "path string, probe string")
+    cuts = spark.createDataFrame([("/a.mp4", 2.0), ("/a.mp4", 2.5), ("/a.mp4", 8.9), ("/a.mp4", 99.0)], "path string, at_s double")
+    videos, clips = build(probes, cuts, "train")
+    rows = {r.path: r for r in videos.collect()}
+    assert rows["/a.mp4"].fps == 30.0 and not rows["/a.mp4"].audio and rows["/a.mp4"].split == "train" and rows["/b.mp4"].width == 1920
+    found = clips.where(F.col("video_id") == rows["/a.mp4"].video_id).orderBy("start_s").collect()
+    assert [(r.start_s, r.end_s) for r in found] == [(0.0, 3.0), (1.0, 9.9), (7.9, 10.0)] and not any(r.scenedetect_failed for r in found)
+    assert [r.scenedetect_failed for r in clips.where(F.col("video_id") == rows["/b.mp4"].video_id).collect()] == [True]
+    assert sorted(map(tuple, build(probes, cuts, "train")[1].collect())) == sorted(map(tuple, clips.collect()))
+    assert clips.select(*schemas.CLIPS.replace(" string", "").replace(" double", "").replace(" int", "").replace(" boolean", "").split(", ")).count() == 4 and unsound(videos, clips).count() == 0
+    assert build(probes, cuts, "train", SceneDetectConfig(method="none"))[1].count() == 2
+    assert build(probes, cuts, "train", SceneDetectConfig(method="none", fallback=False))[1].count() == 0
+    with pytest.raises(Exception, match="invalid frame rate"):
+        build(spark.createDataFrame([("/c.mp4", PROBE % "0/0")], probes.schema), cuts, "train")[0].collect()
+
+
+def test_metrics_are_observed(spark):
+    from clipwright.operators.metrics import Metrics
+
+    metrics = Metrics()
+    assert metrics.observe(spark.range(10), "infer", largest=F.max("id")).where("id > 5").count() == 4
+    assert metrics.get("infer") == {"clips_processed_total": 10, "largest": 9}
+
+
+def test_command_line():
+    from clipwright.cli import build_parser
+
+    args = build_parser().parse_args(["make-manifest", "--input-dir", "i", "--output-dir", "o", "--config", "c.json"])
+    assert args.split == "train" and args.glob == "**/*.mp4" and args.call.__name__ == "make_manifest"
+    with pytest.raises(SystemExit):
+        build_parser().parse_args(["run"])
