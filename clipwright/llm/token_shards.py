@@ -29,6 +29,8 @@ def sequences(docs: DataFrame, id_col: str, text_col: str, length: int, vocabula
 
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = encode(text.as_py(), vocabulary)
+                if int(whole.max()) >> (8 * width):
+                    raise ValueError(f"id {whole.max()} needs more than {width} bytes")
                 padded = np.full(-(-len(whole) // length) * length, END, f"<u{width}")
                 padded[: len(whole)] = whole
                 for k in range(0, len(whole), length):
@@ -53,7 +55,7 @@ def shards(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
     Slot s lies in shard s div shard_rows at byte (s mod shard_rows) * stride: reads are sequential, and may resume at
     any slot. Slots are a Feistel permutation, keyed by `seed`, of the sequences' places in the scan. Null is the empty
     text, and the empty text one sequence; rows that repeat a doc_id are sequences of their own; an empty table gives no
-    shard. width 2 holds ids below 65,536; give 4 for larger vocabularies.
+    shard. width 2 holds ids below 65,536 and a larger id is an error; give 4 for larger vocabularies.
     """
     spark = docs.sparkSession
     cut = sequences(docs, id_col, text_col, length, vocabulary or vocabulary_path(), width)

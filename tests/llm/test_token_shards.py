@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from clipwright.llm.token_shards import read_from, shards, write_shards
 from clipwright.llm.tokens import encode, vocabulary_path
@@ -44,5 +45,13 @@ def test_seed_decides_the_order(spark):
     assert one == order(1) and one != order(2) and sorted(one) == list(range(100)) and one != list(range(100))
 
 
+def test_ids_too_large_for_the_width(spark):
+    df = spark.createDataFrame([(1, "some text with large ids")], "doc_id long, text string")
+    with pytest.raises(Exception, match="needs more than 1 bytes"):
+        shards(df, width=1).collect()
+    row = shards(df, width=4, length=8).head()
+    assert np.frombuffer(row.payload, "<u4")[: row.lengths[0]].tolist() == encode("some text with large ids", vocabulary_path()).tolist()[:8]
+
+
 def test_empty(spark):
     assert shards(spark.createDataFrame([], "doc_id long, text string")).collect() == []
