@@ -120,8 +120,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     Fingerprints link at `radius` or fewer differing bits (and `first` or fewer in the first word, if given);
     component_id is the smallest doc_id reachable, the row's own included. Null and wordless texts have fingerprint zero
-    and link like any other. A row without doc_id takes part, and names no component. Equal fingerprints are one node,
-    so groups of copies cost one comparison. The comparison is exact and grows with the square of the number of distinct
+    and link like any other. A row without doc_id takes part, and names no component; rows that repeat a doc_id are each
+    fingerprinted, and one vertex. An empty table gives an empty result; other columns are not looked at. Equal
+    fingerprints are one node, so groups of copies cost one comparison. The comparison is exact and grows with the square of the number of distinct
     fingerprints.
     """
     prints = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, width=width), "fingerprints")
