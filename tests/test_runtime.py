@@ -174,3 +174,19 @@ def test_command_line():
     assert args.split == "train" and args.glob == "**/*.mp4" and args.call.__name__ == "make_manifest"
     with pytest.raises(SystemExit):
         build_parser().parse_args(["run"])
+
+
+def test_streaming_tracker_matches_the_batch_one(spark, tmp_path):
+    import random
+
+    from clipwright.operators.boxes import tracked
+
+    rnd = random.Random(9)
+    data = [(k % 5, f, o, float(x), float(y), float(x + 20), float(y + 20)) for k in range(5) for f in range(12) for o in range(2) for x, y in [(rnd.randint(0, 30), rnd.randint(0, 30))]]
+    schema = "clip_key long, frame long, ord int, x1 double, y1 double, x2 double, y2 double"
+    for half in (0, 1):  # two files, one batch each
+        spark.createDataFrame([r for r in data if (r[1] >= 6) == bool(half)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    got = sorted(map(tuple, alerts.drained(alerts.tracks(stream, 0.3), "append").collect()))
+    want = sorted(map(tuple, tracked(spark.createDataFrame(data, schema), 0.3).select("clip_key", "frame", "ord", "object").collect()))
+    assert got == want
