@@ -23,9 +23,9 @@ class ParquetConfig:
 
 @dataclass(frozen=True)
 class BackpressureConfig:
-    cpu: int | None = None
-    gpu: int | None = None
-    write: int | None = None
+    max_in_flight_cpu: int | None = None
+    max_in_flight_gpu: int | None = None
+    max_in_flight_write: int | None = None
 
     def resolved(self, num_gpus: int) -> BackpressureConfig:
         """None and zero mean twice the number of GPUs."""
@@ -46,40 +46,42 @@ class RetryPolicy:
 class SceneDetectConfig:
     method: str = "scenedetect"
     min_scene_len_s: float = 1.0
-    fallback: bool = True
+    fallback_full_clip: bool = True
     overlap_s: float = 1.0
 
 
 @dataclass(frozen=True)
 class CoordinateSpec:
-    """Fixed values."""
+    """How times, lengths and rotations are written."""
 
-    version: str = "v1"
-    frame: str = "camera"
-    handedness: str = "right"
-    units: str = "meters"
-    rotation: str = "quaternion_wxyz"
-    axis_order: str = "xyz"
-    mask_encoding: str = "rle"
+    spec_version: str = "v1"
     time_base: str = "seconds"
+    mask_encoding: str = "rle"
+    length_unit: str = "meters"
+    handedness: str = "right"
+    quat_order: str = "wxyz"
     frame_index_base: int = 0
+    axis_order: str = "x,y,z"
+    coord_frame: str = "camera"
 
 
 @dataclass(frozen=True)
 class MetricsThresholds:
-    gpu_utilization: float = 0.60
-    gpu_window_s: int = 600
-    failure_rate: float = 0.01
-    empty_mask_rate: float = 0.20
+    gpu_util_min: float = 0.60
+    gpu_util_window_s: int = 600
+    failure_rate_max: float = 0.01
+    empty_mask_rate_max: float = 0.20
 
 
 @dataclass(frozen=True)
 class PathsConfig:
-    data_root: str = ""
-    output_root: str = ""
-    manifest_root: str = ""
-    state_root: str = ""
-    runlog: str = ""
+    """state_db_path is the folder of the state log here."""
+
+    data_root: str = "./data"
+    output_root: str = "./output"
+    manifest_path: str = "./manifests"
+    state_db_path: str = "./state/pipeline.db"
+    runlog_path: str = "./runlog.md"
 
 
 @dataclass(frozen=True)
@@ -93,6 +95,9 @@ class PromptConfig:
     text_threshold: float = 0.25
     nms_iou: float = 0.5
     min_box_area: float = 256.0
+    gd_config: str = "./models/groundingdino/GroundingDINO_SwinT_OGC.py"
+    gd_checkpoint: str = "./models/groundingdino/groundingdino_swint_ogc.pth"
+    gd_device: str = "cuda"
 
     @classmethod
     def load(cls, raw: dict[str, Any]) -> PromptConfig:
@@ -129,25 +134,26 @@ class PipelineConfig:
     retry: RetryPolicy = RetryPolicy()
     scenedetect: SceneDetectConfig = SceneDetectConfig()
     coordinates: CoordinateSpec = CoordinateSpec()
-    thresholds: MetricsThresholds = MetricsThresholds()
+    metrics: MetricsThresholds = MetricsThresholds()
     operators: dict[str, OperatorConfig] = field(default_factory=lambda: operator_configs({}))
     model_versions: dict[str, str] = field(default_factory=dict)
+    dataset_hash: str | None = None
+    code_git_hash: str | None = None
     extra: dict[str, Any] = field(default_factory=dict)
 
     def resolved(self) -> PipelineConfig:
         return replace(self, backpressure=self.backpressure.resolved(self.num_gpus))
 
-    def run_manifest(self, run_id: str, created_at: str, config_path: str, code_hash: str, dataset_hash: str) -> dict[str, str]:
+    def run_manifest(self, run_id: str = "", created_at: str = "", config_path: str = "") -> dict[str, str]:
         """One row of ten strings; nested values are JSON texts."""
-        text = lambda v: json.dumps(v, sort_keys=True)
         return {
-            "run_id": run_id, "created_at": created_at, "config_path": config_path, "code_git_hash": code_hash,
-            "model_versions": text(self.model_versions), "dataset_hash": dataset_hash, "parquet_params": text(asdict(self.parquet)),
-            "coordinate_spec_version": self.coordinates.version, "mask_encoding": self.coordinates.mask_encoding, "time_base": self.coordinates.time_base,
+            "run_id": run_id or self.run_id or "", "created_at": created_at, "config_path": config_path, "code_git_hash": self.code_git_hash or "",
+            "model_versions": json.dumps(self.model_versions), "dataset_hash": self.dataset_hash or "", "parquet_params": json.dumps(asdict(self.parquet)),
+            "coordinate_spec_version": self.coordinates.spec_version, "mask_encoding": self.coordinates.mask_encoding, "time_base": self.coordinates.time_base,
         }
 
 
-SECTIONS = {"paths": PathsConfig, "parquet": ParquetConfig, "backpressure": BackpressureConfig, "retry": RetryPolicy, "scenedetect": SceneDetectConfig, "coordinates": CoordinateSpec, "thresholds": MetricsThresholds}
+SECTIONS = {"paths": PathsConfig, "parquet": ParquetConfig, "backpressure": BackpressureConfig, "retry": RetryPolicy, "scenedetect": SceneDetectConfig, "coordinates": CoordinateSpec, "metrics": MetricsThresholds}
 
 
 def load_config(path: str) -> PipelineConfig:
@@ -161,7 +167,7 @@ def load_config(path: str) -> PipelineConfig:
         raw = yaml.safe_load(text)
     given: dict[str, Any] = {name: kind(**(raw.get(name) or {})) for name, kind in SECTIONS.items()}
     given["parquet"] = replace(given["parquet"], partition=tuple(given["parquet"].partition))
-    plain = {k: raw[k] for k in ("run_id", "num_gpus", "model_versions", "extra") if raw.get(k) is not None}
+    plain = {k: raw[k] for k in ("run_id", "num_gpus", "model_versions", "dataset_hash", "code_git_hash", "extra") if raw.get(k) is not None}
     return PipelineConfig(operators=operator_configs(raw.get("operators") or {}), **given, **plain)
 
 

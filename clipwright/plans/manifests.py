@@ -35,7 +35,7 @@ def build(probes: DataFrame, cuts: DataFrame, split: str, scenes: SceneDetectCon
     """(videos, clips) from probes (path, probe) and cuts (path, at_s).
 
     A video's id is 16 hex digits of the hash of its path. An invalid frame rate is an error. With a detection method
-    other than `scenedetect` no scene is detected; videos without scenes are one clip each if `fallback` allows, else
+    other than `scenedetect` no scene is detected; videos without scenes are one clip each if `fallback_full_clip` allows, else
     none. Clips reach overlap_s over both ends, stay within the video and lie on frames.
     """
     read = manifest.probed(probes.select("path", "probe"))
@@ -46,7 +46,7 @@ def build(probes: DataFrame, cuts: DataFrame, split: str, scenes: SceneDetectCon
     keyed = cuts.select(F.substring(F.sha2("path", 256), 1, 16).alias("video_id"), F.col("at_s").cast("double"))
     if scenes.method != "scenedetect":
         keyed = keyed.limit(0)
-    found = manifest.or_whole(videos, manifest.scenes_between(videos, keyed, scenes.min_scene_len_s), scenes.fallback)
+    found = manifest.or_whole(videos, manifest.scenes_between(videos, keyed, scenes.min_scene_len_s), scenes.fallback_full_clip)
     on = manifest.expanded(manifest.with_videos(found, videos), scenes.overlap_s)
     clips = on.select(
         clip_id(F.col("video_id"), F.col("frame_start"), F.col("frame_end")).alias("clip_id"), "video_id", "start_s", "end_s", "frame_start", "frame_end",

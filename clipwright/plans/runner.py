@@ -49,12 +49,12 @@ def run(spark: SparkSession, config: PipelineConfig, videos: DataFrame, clips: D
     """
     config = config.resolved()
     run_id, root, policy = config.run_id or make_run_id(), config.paths.output_root, config.retry
-    log = StateLog(spark, config.paths.state_root)
+    log = StateLog(spark, config.paths.state_db_path)
     new = state.insert_pending(log.latest(), clips.withColumn("__seq", F.monotonically_increasing_id()), "clip_id", "__seq")
     log.append(new.select("clip_id", "video_id"), "Pending")
     todo = clips.join(state.resumable(log.latest()).select("clip_id"), "clip_id", "left_semi")
     tasks = manifest.with_videos(todo, manifest_videos(videos)).select("clip_id", "video_id", F.col("path").alias("video_path"), "start_s", "end_s", "frame_start", "frame_end", "fps", *[c for c in clips.columns if c == "plane"])
-    sinks.write_json(spark, f"{root}/run_id={run_id}/run_manifest.json", config.run_manifest(run_id, created_at(), "", "", ""))
+    sinks.write_json(spark, f"{root}/run_id={run_id}/run_manifest.json", config.run_manifest(run_id, created_at()))
 
     left, attempt = kept(tasks, root), 0
     while left.head(1):

@@ -39,7 +39,7 @@ def video_dedupe_last(spark, sf_dir):
 
 def run_manifest(spark, sf_dir):
     n = F.count(F.lit(1)).cast("string")
-    row = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("20240101_000000", "2024-01-01T00:00:00Z", "config.json", "none", "")
+    row = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("20240101_000000", "2024-01-01T00:00:00Z", "config.json")
     rows = fixtures.table(spark, sf_dir, "orders").agg(F.sha2(F.concat(F.lit("orders:"), n), 256).alias("dataset_hash"))
     return rows.select(*[F.lit(v).alias(k) for k, v in row.items() if k != "dataset_hash"], "dataset_hash")
 
@@ -126,7 +126,7 @@ _EXPANDED = f"""moved AS (
   FROM clips JOIN videos USING (video_id)
 ), expanded AS (
   SELECT *, {_FRAMES.format('s')} AS frame_start, {_FRAMES.format('e')} AS frame_end FROM moved)"""
-_MANIFEST = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("20240101_000000", "2024-01-01T00:00:00Z", "config.json", "none", "")
+_MANIFEST = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("20240101_000000", "2024-01-01T00:00:00Z", "config.json")
 
 SQL = {
     "scene_intervals": f"""{with_('videos', recursive=True)}, cuts AS (

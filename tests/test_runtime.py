@@ -18,14 +18,14 @@ from clipwright.streaming import alerts
 
 def test_config(tmp_path):
     path = tmp_path / "c.json"
-    path.write_text(json.dumps({"num_gpus": 4, "unknown": 1, "backpressure": {"gpu": 0, "write": 3}, "operators": {"hamer": {"enabled": True, "params": None}, "other": {}}}))
+    path.write_text(json.dumps({"num_gpus": 4, "unknown": 1, "backpressure": {"max_in_flight_gpu": 0, "max_in_flight_write": 3}, "operators": {"hamer": {"enabled": True, "params": None}, "other": {}}}))
     c = load_config(str(path)).resolved()
-    assert (c.backpressure.cpu, c.backpressure.gpu, c.backpressure.write) == (8, 8, 3)
+    assert (c.backpressure.max_in_flight_cpu, c.backpressure.max_in_flight_gpu, c.backpressure.max_in_flight_write) == (8, 8, 3)
     assert c.operators["sam2"].enabled and c.operators["hamer"] == OperatorConfig(True, {}) and not c.operators["fast3r"].enabled
     path.write_text(json.dumps({"retry": {"tries": 1}}))
     with pytest.raises(TypeError):
         load_config(str(path))
-    row = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("r", "t", "", "", "")
+    row = PipelineConfig(model_versions={"sam2": "v1"}).run_manifest("r", "t")
     assert all(isinstance(v, str) for v in row.values()) and json.loads(row["model_versions"]) == {"sam2": "v1"} and json.loads(row["parquet_params"])["compression"] == "zstd"
     assert [RetryPolicy().next_delay(a) for a in (1, 2, 3)] == [5.0, 15.0, 45.0] and len(make_run_id()) == 15
     assert PromptConfig.load({}) == PromptConfig() and PromptConfig.load({"nms_iou": "1", "x": 2}).nms_iou == 1.0
@@ -100,7 +100,7 @@ def test_runner_retries_buries_and_resumes(spark, tmp_path):
     clips = spark.createDataFrame([(c, "v", 0.0, 1.0, 0, 30, [0.0, 1.0, 0.0, 1.0]) for c in ("good", "bad", "flaky", "never")], "clip_id string, video_id string, start_s double, end_s double, frame_start int, frame_end int, plane array<double>")
     marks = tmp_path / "marks"
     marks.mkdir()
-    config = PipelineConfig(run_id="r1", paths=PathsConfig(output_root=str(tmp_path / "out"), state_root=str(tmp_path / "state")), retry=RetryPolicy(max_retries=2))
+    config = PipelineConfig(run_id="r1", paths=PathsConfig(output_root=str(tmp_path / "out"), state_db_path=str(tmp_path / "state")), retry=RetryPolicy(max_retries=2))
     waits = []
     segmenter = Segmenter(lambda folder=str(marks): Flaky(folder))
     assert run(spark, config, videos, clips, segmenter, others={"hand_pose": STUBS["hamer"]}, sleep=waits.append) == "r1"
@@ -154,7 +154,7 @@ def test_building_manifests(spark):
     assert sorted(map(tuple, build(probes, cuts, "train")[1].collect())) == sorted(map(tuple, clips.collect()))
     assert clips.select(*schemas.CLIPS.replace(" string", "").replace(" double", "").replace(" int", "").replace(" boolean", "").split(", ")).count() == 4 and unsound(videos, clips).count() == 0
     assert build(probes, cuts, "train", SceneDetectConfig(method="none"))[1].count() == 2
-    assert build(probes, cuts, "train", SceneDetectConfig(method="none", fallback=False))[1].count() == 0
+    assert build(probes, cuts, "train", SceneDetectConfig(method="none", fallback_full_clip=False))[1].count() == 0
     with pytest.raises(Exception, match="invalid frame rate"):
         build(spark.createDataFrame([("/c.mp4", PROBE % "0/0")], probes.schema), cuts, "train")[0].collect()
 
