@@ -12,9 +12,9 @@ from clipwright.scratch import materialize
 
 
 def last_by_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Of the rows with one key, the last."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return rows.withColumn("__nth", F.row_number().over(w)).where("__nth = 1").drop("__nth")
+    """Of the rows with one key, the last. An aggregate: each task sends one row per key, however many it has."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__last")).select(key, "__last.*").select(*rows.columns)
 
 
 def with_videos(clips: DataFrame, videos: DataFrame) -> DataFrame:

@@ -24,8 +24,7 @@ def resumable(state: DataFrame, statuses: tuple[str, ...] | None = None) -> Data
 
 def insert_pending(state: DataFrame, incoming: DataFrame, key: str = "clip_key", order: str = "seq") -> DataFrame:
     """Rows to add: clips not in the state yet, of several for one clip the first."""
-    first = Window.partitionBy(key).orderBy(order)
-    new = incoming.join(state.select(key), key, "left_anti").withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    new = incoming.join(state.select(key), key, "left_anti").groupBy(key).agg(F.min_by("video_id", order).alias("video_id"))
     return new.select(key, "video_id", F.lit("Pending").alias("status"), F.lit("").alias("last_error"), F.lit(0).alias("retry_count"))
 
 
