@@ -129,3 +129,48 @@ def test_prompts(spark):
         got.setdefault(r.video_id, []).append(r.frame)
     assert got == {"a": [0, 60, 120, 180], "b": [0, 60, 120, 180], "c": [0]}
     assert prompt_frames(videos, 2.0, 0).where("video_id = 'a'").count() == 1
+
+
+def test_area_filter_then_suppression(spark):
+    rows = spark.createDataFrame([(1, 0, 0.0, 0.0, 10.0, 10.0), (1, 1, 0.0, 0.0, 30.0, 30.0), (2, 0, 5.0, 5.0, 1.0, 1.0)], "frame_key int, ord int, x1 double, y1 double, x2 double, y2 double")
+    assert [(r.frame_key, r.x2) for r in ops.suppressed(ops.large_enough(rows, 200.0), 1.0).collect()] == [(1, 30.0)]
+    assert ops.large_enough(rows, 100.0).count() == 2 and ops.large_enough(rows, 0.0).count() == 3
+    same = rows.where("frame_key = 1").withColumns({"x2": F.lit(20.0), "y2": F.lit(20.0)})
+    assert [r.ord for r in ops.suppressed(same, 0.5).collect()] == [1]  # of equal boxes the later one
+
+
+def test_top_k_ties_and_missing_phrases(spark):
+    rows = spark.createDataFrame([(1, 0, 0.5, "a"), (1, 1, 0.5, None), (1, 2, 0.9, "c"), (1, 3, None, "d")], "frame_key int, ord int, score double, phrase string")
+    assert [(r.ord, r.phrase) for r in ops.top_k(rows, 3).orderBy("place").collect()] == [(2, "c"), (1, ""), (0, "a")]
+    lists = spark.createDataFrame([(1, [0.1, 0.2], ["x"]), (2, [], ["y"])], "frame_key int, scores array<double>, phrases array<string>")
+    assert [tuple(r) for r in ops.detections(lists).collect()] == [(1, 0, 0.1, "x"), (1, 1, 0.2, "")]
+
+
+def test_formats_are_told_apart_per_frame(spark):
+    data = [(1, 0, 10.0, 20.0, 400.0, 300.0), (2, 0, 0.5, 0.5, 0.25, 0.5), (2, 1, 0.5, 0.5, 0.25, 0.25), (3, 0, 0.0, 0.25, 1.0, 1.0)]
+    rows = ops.normalized(spark.createDataFrame(data, "frame_key int, ord int, x1 double, y1 double, x2 double, y2 double"), 320, 240)
+    got = {(r.frame_key, r.ord): (r.x1, r.y1, r.x2, r.y2) for r in rows.collect()}
+    assert got == {(1, 0): (10, 20, 319, 239), (2, 0): (120, 60, 200, 180), (2, 1): (120, 90, 200, 150), (3, 0): (0, 60, 319, 239)}
+
+
+def test_absolute_frames(spark):
+    from clipwright.operators.masks import absolute, frames_between
+
+    clips = spark.createDataFrame([("c", 1.0, 30.0, 30, 36), ("d", 1.0, 0.0, 9, 8)], "clip_id string, start_s double, fps double, frame_start int, frame_end int")
+    rows = absolute(frames_between(clips, F.lit(3))).orderBy("frame").collect()
+    assert [(r.offset, r.frame, r.frame_index, r.timestamp_s) for r in rows] == [(0, 30, 30, 1.0), (3, 33, 33, 1.1), (6, 36, 36, 1.2)]
+
+
+def test_quality_rules_of_no_rows(spark):
+    from clipwright.operators import quality
+
+    none = spark.createDataFrame([], "v double, empty boolean")
+    assert tuple(none.agg(quality.empty_rate(F.col("empty")), quality.empty_rate_counted(F.col("empty"))).head()) == (1.0, 0.0)
+    assert tuple(none.agg(*quality.distribution(F.col("v"))).head()) == (0.0, 0.0, 0.0)
+
+
+def test_schedule_is_longest_first_and_stable(spark):
+    rows = spark.createDataFrame([(k, 0.0, float(k % 7) if k % 5 else None) for k in range(500)], "k int, start_s double, end_s double")
+    placed = manifest.schedule(rows, "k").orderBy("place").collect()
+    want = sorted(range(500), key=lambda k: (-(float(k % 7) if k % 5 else 0.0), k))
+    assert [r.k for r in placed] == want and [r.place for r in placed] == list(range(1, 501))
