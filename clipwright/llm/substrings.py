@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,9 @@ from clipwright.llm.permute import mix64
 from clipwright.llm.shared import materialize
 
 #: Bytes of text hashed at a time.
-SPAN = 1 << 20
+SPAN = 1 << 18
 #: Cells of the sketch in one message, as a power of two.
-SLICE = 22
+SLICE = 21
 #: The sketch's rows.
 DEPTH = 2
 #: Partial sketches of a slice that one task merges, in later rounds.
@@ -91,8 +92,22 @@ def windows(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     return mix64(spans(hashes, s, s + width, BASES[1])), mix64(spans(hashes, s, s + width, BASES[2]))
 
 
-def text_bytes(text) -> np.ndarray:
-    return np.frombuffer((text.as_py() or "").encode("utf-8", "surrogatepass"), np.uint8)
+def text_bytes(text) -> bytes:
+    return (text.as_py() or "").encode("utf-8", "surrogatepass")
+
+
+def hashed(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Both hashes of all windows of the texts, one text after the other, and each text's numbers of windows and words.
+
+    The texts are hashed together, a blank between them; windows across a border are dropped.
+    """
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    starts, _, hashes = words(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
+    owner = np.searchsorted(ends, starts, side="right")
+    one, two = windows(hashes, width)
+    within = owner[: len(one)] == owner[width - 1 :] if len(one) else np.zeros(0, bool)
+    n_words = np.bincount(owner, minlength=len(texts))
+    return one[within], two[within], np.maximum(n_words - width + 1, 0), n_words
 
 
 def cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -137,38 +152,43 @@ class Sketch:
 
 @dataclass
 class Chunk:
-    """Consecutive rows of a scan partition, and the hashes of all their windows, row after row."""
+    """Hashes of all windows of consecutive rows of a scan partition, row after row."""
 
     key: int
-    rows: list[tuple]
-    lengths: list[int]
     first: np.ndarray
     second: np.ndarray
-
-
-def chunks(batches: Iterator[pa.RecordBatch], width: int, most: int, hashed: bool = True) -> Iterator[Chunk]:
-    """Rows (doc_id, text) in chunks of about `most` words; how they are cut depends on the rows alone."""
-    part, seq, held, rows, lengths, one, two = TaskContext.get().partitionId(), 0, 0, [], [], [], []
-
-    def cut() -> Chunk:
-        empty = [np.zeros(0, np.uint64)]
-        return Chunk(part << 32 | seq, rows, lengths, np.concatenate(one or empty), np.concatenate(two or empty))
-
+    lengths: np.ndarray
+    words: np.ndarray
+
+
+def chunk_of(key: int, texts: list[bytes], width: int) -> Chunk:
+    """Hashes texts, about SPAN bytes at a time."""
+    parts, at = [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) <= SPAN):
+            size += len(texts[end])
+            end += 1
+        parts.append(hashed(texts[at:end], width))
+        at = end
+    return Chunk(key, *(np.concatenate(p) for p in zip(*parts)))
+
+
+def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list, list[bytes]]]:
+    """Rows (doc_id, text) in chunks of about `most` words: key, ids, texts. How they are cut depends on the rows alone."""
+    part, seq, held, ids, texts = TaskContext.get().partitionId(), 0, 0, [], []
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = text_bytes(text)
-            if hashed:
-                a, b = windows(words(data)[2], width)
-                one.append(a)
-                two.append(b)
-                lengths.append(len(a))
-            rows.append((doc_id, text))
-            held += len(data)
+            ids.append(doc_id)
+            texts.append(text_bytes(text))
+            held += len(texts[-1])
             if held >= most * 6:
-                yield cut()
-                seq, held, rows, lengths, one, two = seq + 1, 0, [], [], [], []
-    if rows:
-        yield cut()
+                yield part << 32 | seq, ids, texts
+                seq, held, ids, texts = seq + 1, 0, [], []
+        batch = text = None  # noqa: F841  frees the batch before the next one comes
+        pa.default_memory_pool().release_unused()
+    if ids:
+        yield part << 32 | seq, ids, texts
 
 
 def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sketch:
@@ -180,7 +200,8 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sk
     size = 1 << min(bits, SLICE)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, width, most):
+        for key, _, bodies in chunks(batches, most):
+            chunk = chunk_of(key, bodies, width)
             keys, counts = np.unique(chunk.first, return_counts=True)
             rows = []
             for r, at in enumerate(cells(keys, bits)):
@@ -203,9 +224,11 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sk
     def merged(table: pa.Table) -> pa.Table:
         state = np.zeros(size, np.uint8)
         for once, more in zip(table.column("once"), table.column("more")):
-            state[unpacked(once.as_py())] += 1
+            at = unpacked(once.as_py())
+            now = state[at]
+            now += now < 2
+            state[at] = now
             state[unpacked(more.as_py())] = 2
-            np.minimum(state, 2, out=state)
         return pa.table({"part": table.column("part")[:1], "salt": table.column("salt")[:1], "once": pa.array([packed(np.nonzero(state == 1)[0], size)]), "more": pa.array([packed(np.nonzero(state == 2)[0], size)])})
 
     def bitmap(table: pa.Table) -> pa.Table:
@@ -246,7 +269,8 @@ def answered(texts: DataFrame, width: int, counted, buckets: int, most: int) ->
     """(chunk, bucket, n, sum, mask): which of a chunk's suspects in a bucket occur twice or more in all the texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, width, most):
+        for chunk_key, _, bodies in chunks(batches, most):
+            chunk = chunk_of(chunk_key, bodies, width)
             _, _, bucket, key, n = suspects(chunk, counted.value, buckets)
             used, first = np.unique(bucket, return_index=True)
             ends = np.append(first[1:], len(bucket))
@@ -293,18 +317,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     replies = materialize(answered(texts, width, counted, buckets, chunk_words), "substring-replies")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, width, chunk_words, hashed=False):
-            ids = pa.array([r[0] for r in chunk.rows], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), chunk.key)), pa.array(np.arange(len(ids))), ids, pa.array([r[1].as_py() for r in chunk.rows], pa.string())], ["chunk", "nth", "doc_id", "text"])
+        for key, ids, bodies in chunks(batches, chunk_words):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), key)), pa.array(np.arange(len(ids))), pa.array(ids, pa.int64()), pa.array(bodies, pa.binary())], ["chunk", "nth", "doc_id", "text"])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("nth")
-        parsed = []
-        for text in left.column("text"):
-            data = text_bytes(text)
-            parsed.append((data, *words(data)))
-        hashed = [windows(p[3], width) for p in parsed]
-        chunk = Chunk(0, [], [len(h[0]) for h in hashed], np.concatenate([h[0] for h in hashed] or [np.zeros(0, np.uint64)]), np.concatenate([h[1] for h in hashed] or [np.zeros(0, np.uint64)]))
+        texts = left.column("text").to_pylist()
+        chunk = chunk_of(0, texts, width)
         at, which, bucket, key, _ = suspects(chunk, counted.value, buckets)
         used, first = np.unique(bucket, return_index=True)
         found = {r["bucket"]: r for r in right.to_pylist()}
@@ -317,19 +336,21 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             yes[s:e] = np.unpackbits(np.frombuffer(found[b]["mask"], np.uint8), count=e - s)
         repeated = np.zeros(len(chunk.first), bool)
         repeated[at] = yes[which]
-        n_words, n_removed, kept, end = [], [], [], 0
-        for (data, starts, _, _), n in zip(parsed, chunk.lengths):
+        n_removed, kept, end = [], [], 0
+        for text, total, n in zip(texts, chunk.words.tolist(), chunk.lengths.tolist()):
             begin, end = end, end + n
-            edge = np.zeros(len(starts) + 1, np.int64)
-            hit = np.nonzero(repeated[begin:end])[0]
-            edge[hit] += 1
-            edge[hit + width] -= 1
-            covered = np.cumsum(edge[:-1]) > 0
-            pieces = data.tobytes().split()
-            n_words.append(len(pieces))
-            n_removed.append(int(covered.sum()))
-            kept.append(b" ".join(np.array(pieces, object)[~covered].tolist() if len(hit) else pieces).decode("utf-8", "surrogatepass"))
-        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
-
-    labelled = texts.mapInArrow(label, "chunk long, nth long, doc_id long, text string")
+            pieces, hit = text.split(), np.nonzero(repeated[begin:end])[0]
+            removed = 0
+            if len(hit):
+                edge = np.zeros(total + 1, np.int64)
+                edge[hit] += 1
+                edge[hit + width] -= 1
+                stays = np.cumsum(edge[:-1]) == 0
+                removed = total - int(stays.sum())
+                pieces = list(compress(pieces, stays.tolist()))
+            n_removed.append(removed)
+            kept.append(b" ".join(pieces).decode("utf-8", "surrogatepass"))
+        return pa.table({"doc_id": left.column("doc_id"), "n_words": pa.array(chunk.words.astype(np.int64)), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
+
+    labelled = texts.mapInArrow(label, "chunk long, nth long, doc_id long, text binary")
     return labelled.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(finish, "doc_id long, n_words long, n_removed long, kept_text string")
