@@ -33,18 +33,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """edges (a, b: long, any order, repeats and loops allowed) to (node, component): the smallest node reachable.
 
     Nodes without an edge to another node are absent. Each round is two aggregations to a minimum and two joins; no
-    neighbourhood is ever gathered, and hubs are left to the skew handling of the joins. Raises if not done in
-    `max_rounds`, which the logarithmic number of rounds keeps out of reach.
+    neighbourhood is ever gathered. The minima are written before they are joined: a join of two stored tables is one
+    whose large partitions, such as a hub's, Spark splits. Raises if not done in `max_rounds`, which the logarithmic
+    number of rounds keeps out of reach.
     """
     canonical = lambda x, y: edges.where(F.col("a") != F.col("b")).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
     now = materialize(canonical("a", "b").distinct(), "edges")
     seen = _signature(now)
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
+        low = materialize(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "lowest")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.unionByName(low.where("m < a").select("a", F.col("m").alias("b"))).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialize(large, "stars")
+        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
         was, seen = seen, _signature(now)
