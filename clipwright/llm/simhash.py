@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,30 +22,65 @@ CELLS = 1 << 21
 BLOCK = 1 << 16
 
 
-def fingerprint(text: str | None, shingle_words: int = 3, width: int = 1) -> np.ndarray:
-    """SimHash of a text as `width` unsigned 64-bit words; no words: zeros.
-
-    The first word takes its votes from the shingles' XXH64, further words from rehashes of it.
-    """
+def shingles(text: str | None, shingle_words: int) -> Iterator[np.ndarray]:
+    """XXH64 of the text's shingles, block by block; a text of fewer words is one shingle, one without words none."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # both touch ASCII only
     if not words:
-        return np.zeros(width, np.uint64)
+        return
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle_words + 1)
     starts, ends = starts[:n].tolist(), ends[-n:].tolist()
-    digest, over = xxhash.xxh64_intdigest, np.zeros((width, 64), np.int64)
+    digest = xxhash.xxh64_intdigest
     for k in range(0, n, BLOCK):
-        part = np.array([digest(line[s:e], 42) for s, e in zip(starts[k : k + BLOCK], ends[k : k + BLOCK])], "<u8")
+        yield np.array([digest(line[s:e], 42) for s, e in zip(starts[k : k + BLOCK], ends[k : k + BLOCK])], "<u8")
+
+
+def vote(parts: Iterable[np.ndarray], width: int) -> np.ndarray:
+    """SimHash of hashed shingles: the first word takes its votes from the hashes, further words from rehashes of them."""
+    over, n = np.zeros((width, 64), np.int64), 0
+    for part in parts:
+        n += len(part)
         for w in range(width):
             votes = mix64(part + np.uint64(w)) if w else part
             over[w] += np.unpackbits(votes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(over * 2 > n, axis=1, bitorder="little").view("<u8")[:, 0]
 
 
+def fingerprint(text: str | None, shingle_words: int = 3, width: int = 1) -> np.ndarray:
+    """SimHash of a text as `width` unsigned 64-bit words; no words: zeros."""
+    return vote(shingles(text, shingle_words), width)
+
+
+def shingle_set(text: str | None, shingle_words: int) -> np.ndarray:
+    """The distinct hashes of the text's shingles, sorted."""
+    return np.unique(np.concatenate([*shingles(text, shingle_words), np.zeros(0, "<u8")]))
+
+
+def shingle_sets(docs: DataFrame, *, shingle_words: int, width: int, whole: bool) -> DataFrame:
+    """docs (doc_id, text, others) to (the others, doc_id, key: a digest of the set of shingles, fp and ones: the set's
+    fingerprint and population count, size of the set, hashes: the set if `whole`, else null)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                sets = [shingle_set(t.as_py(), shingle_words) for t in part.column("text")]
+                fps = [vote([s], width) for s in sets]
+                keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                ones = [int(np.bitwise_count(f).sum()) for f in fps]
+                rest = [part.column(c) for c in others]
+                yield pa.RecordBatch.from_arrays([*rest, part.column("doc_id"), pa.array(keys, pa.binary()), pa.array([f.astype(">u8").tobytes() for f in fps], pa.binary()), pa.array(ones, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() if whole else None for s in sets], pa.binary())], names)
+
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = [*others, "doc_id", "key", "fp", "ones", "size", "hashes"]
+    schema = docs.select(*others, "doc_id").schema.add("key", "binary").add("fp", "binary").add("ones", "integer").add("size", "long").add("hashes", "binary")
+    return docs.mapInArrow(run, schema)
+
+
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, width: int = 1) -> DataFrame:
     """(doc_id, fp: the fingerprint's words, big-endian, ones: its population count), one row per input row."""
 
@@ -133,17 +169,76 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return whole.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def similar(sets: DataFrame, similarity: float, radius: int, first: int, width: int, block_rows: int = 1024, block_size: int = 1 << 19) -> DataFrame:
+    """sets (component, doc_id, fp, size, hashes) to edges (a, b) between doc_ids: a spanning forest of every tile's
+    pairs of sets with a Jaccard similarity of `similarity` or more, of those of one component whose fingerprints are near.
+
+    Large components are dealt to blocks and compared block against block, small ones share a tile.
+    """
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block_rows, F.sum("size") / block_size, F.lit(1.0))).cast("int")
+    sizes = materialize(sets.groupBy("component").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume")), "near-sizes")
+    n, volume = sizes.where("blocks = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("volume"), F.lit(0))).head()
+    shared = max(1, 2 * n // block_rows, 2 * volume // block_size)
+    dealt = sets.join(sizes.select("component", "blocks"), "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    dealt = dealt.withColumns({"big": F.col("blocks") > 1, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
+    dealt = dealt.withColumns({"tile": F.when(F.col("big"), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(shared))), "x": F.least("block", "other"), "y": F.greatest("block", "other")})
+
+    def compare(key: tuple, part: pa.Table) -> pa.Table:
+        ids, block = part.column("doc_id").to_numpy(), part.column("block").to_numpy()
+        prints = np.frombuffer(b"".join(part.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
+        hashes = [np.frombuffer(h, "<u8") for h in part.column("hashes").to_pylist()]
+        same = key[2].as_py() == key[3].as_py()
+        a, b = (np.arange(len(ids)),) * 2 if same else (np.nonzero(block == key[2].as_py())[0], np.nonzero(block == key[3].as_py())[0])
+
+        def alike(i: int, j: int) -> bool:
+            p, q = hashes[i], hashes[j]
+            if min(len(p), len(q)) < similarity * max(len(p), len(q)) - 1e-6:
+                return False
+            common = len(np.intersect1d(p, q, assume_unique=True))
+            return common / max(1, len(p) + len(q) - common) >= similarity
+
+        labels = np.arange(len(ids))
+        for i, j in near_pairs(prints[a], prints[b], radius, first, same):
+            i, j = a[i], b[j]
+            nearest = np.argsort(np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1), kind="stable")
+            i, j = i[nearest], j[nearest]
+            while len(i):  # what is connected already is not compared again
+                step = max(64, len(i) // 16)
+                good = np.fromiter(map(alike, i[:step].tolist(), j[:step].tolist()), bool, len(i[:step]))
+                merge_labels(labels, i[:step][good], j[:step][good])
+                i, j = i[step:], j[step:]
+                apart = labels[i] != labels[j]
+                i, j = i[apart], j[apart]
+        tied = np.nonzero(labels != np.arange(len(labels)))[0]
+        return pa.table({"a": pa.array(ids[tied]), "b": pa.array(ids[labels[tied]])})
+
+    keys = ["big", "tile", "x", "y"]
+    return dealt.select(*keys, "block", "doc_id", "fp", "hashes").groupBy(*keys).applyInArrow(compare, "a long, b long")
+
+
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, width: int = 4) -> DataFrame:
     """docs with one row left of each component, the one with its smallest doc_id; rows without doc_id stay.
 
-    Texts link when their fingerprints tell of a Jaccard similarity of `similarity` or more between their shingles: such
-    sets lie at an angle of arccos(2 J / (1 + J)), of which a SimHash shows the share of half a turn as differing bits.
-    Several words of fingerprint keep the estimate sharp; the first word, with three deviations to spare, is the filter.
+    Texts link when the Jaccard similarity of their sets of shingles is `similarity` or more, computed exactly. The
+    pairs to compute it for come from SimHash: sets of similarity J lie at an angle of arccos(2 J / (1 + J)), of which
+    the fingerprints show the share of half a turn as differing bits; the filter leaves 4.5 deviations in the first word
+    and at least four in all words, counted from 3/16, the most that small sets of similarity 0.8 (4 of 5) differ by.
+    Only texts with such a neighbour are read again.
     """
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    radius, first = int(share * 64 * width), int(np.ceil(64 * share + 3 * np.sqrt(64 * share * (1 - share))))
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, radius=radius, width=width, first=first)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
+    small, bits = max(share, 3 / 16), 64 * width
+    radius, first = int(np.ceil(bits * small + 4 * np.sqrt(bits * small * (1 - small)))), int(np.ceil(64 * share + 4.5 * np.sqrt(64 * share * (1 - share))))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = shingle_sets(plain.where("doc_id is not null"), shingle_words=shingle_words, width=width, whole=False)
+    nodes = materialize(prints.groupBy("key").agg(F.min("fp").alias("fp"), F.min("ones").alias("ones"), F.min("doc_id").alias("rep")), "shingle-sets")
+    near = connected_components(linked(nodes.select("fp", "ones", "rep"), radius, 8192, width, first))
+    near = near.unionByName(near.select(F.col("component").alias("node"), "component")).distinct()  # the smallest has no row
+    texts = plain.join(near, F.col("doc_id") == F.col("node")).select("component", "doc_id", "text")
+    sets = shingle_sets(texts, shingle_words=shingle_words, width=width, whole=True)
+    sets = materialize(sets.groupBy("component", "doc_id", "key").agg(*[F.any_value(c).alias(c) for c in ("fp", "size", "hashes")]), "near-sets")
+    found = connected_components(materialize(similar(sets, similarity, radius, first, width), "near-links"))
+    named = nodes.join(found, nodes["rep"] == found["node"], "left")
+    stay = named.select(F.coalesce("component", "rep").alias("__stay")).distinct()
     plan = docs.withColumn("__id", F.col(id_col).cast("long"))
     kept = plan.where("__id is not null").join(stay, F.col("__id") == F.col("__stay"), "left_semi")
     once = Window.partitionBy("__id").orderBy(F.xxhash64(F.col(text_col)))

@@ -98,6 +98,32 @@ def test_stage_drops_near_copies_and_keeps_the_rest(spark):
     assert len(left & set(near)) <= 0.03 * len(near)
 
 
+def test_stage_links_at_exact_similarity(spark):
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(60):
+        base = rnd.choices(words, k=rnd.choice([9, 60, 150, 300])) + ["and so on"] * rnd.choice([0, 0, 40])
+        rows.append((i, " ".join(base)))
+        for k in range(3):  # each change takes about 5 shingles on both sides: similarities of 0.7 to 0.9
+            copy = list(base)
+            for at in rnd.sample(range(len(base)), max(1, int(len(base) * rnd.uniform(0.01, 0.036)))):
+                copy[at] = "changed"
+            rows.append((1000 + 3 * i + k, " ".join(copy if k else base[:-1])))
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} for _, t in rows]
+    label, band = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            likeness = len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+            band += 0.75 <= likeness <= 0.85
+            if likeness >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    want = {min(d for (d, _), y in zip(rows, label) if y == x) for x in set(label)}
+    left = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert band > 20 and sorted(r.doc_id for r in left) == sorted(want)
+
+
 def test_components_of_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5, 5)]
     random.Random(1).shuffle(edges)
