@@ -49,6 +49,7 @@ class Filters:
     languages: list[str]
     cells: np.ndarray  # (positions, words of 64 languages), unsigned 64-bit
     hashes: int
+    cover: np.ndarray | None = None  # for each language, the share of its own n-grams it would find in a text not learned from
 
     def positions(self, keys: np.ndarray) -> Iterator[np.ndarray]:
         one = mix64(keys)
@@ -89,15 +90,17 @@ def held_out(doc_id: Column) -> Column:
 def learn(labelled: DataFrame, *, fit_rows: int = 20_000, per_language: int = 20_000, share: float = 0.1, positions: int = 1 << 18, hashes: int = 4) -> Filters | None:
     """Filters from labelled (key, text, lang), nulls left out; None without any.
 
-    Learns from a sample of about `fit_rows` whole texts, chosen by a hash of their key: the bound on the fit, as is
-    `per_language`, the most frequent n-grams a language keeps. An n-gram belongs to a language if it is seen there
+    Learns from a sample of about `fit_rows` whole texts of each language, chosen by a hash of their key, and all texts
+    of rarer languages: the bound on the fit, as is `per_language`, the most frequent n-grams a language keeps. An n-gram belongs to a language if it is seen there
     twice or more, and at least `share` times as often, per n-gram read, as in the language where it is most frequent.
     """
     rows = labelled.where("lang is not null and text is not null")
-    n = rows.count()
-    if not n:
+    sizes = rows.groupBy("lang").count().collect()  # a row per language
+    if not sizes:
         return None
-    part = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < max(1, int((1 << 30) * min(1.0, fit_rows / n))))
+    shares = [(lang, max(1, int((1 << 30) * min(1.0, fit_rows / n)))) for lang, n in sizes]
+    shares = rows.sparkSession.createDataFrame(shares, "lang string, below long")
+    part = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.col("below"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +119,13 @@ def learn(labelled: DataFrame, *, fit_rows: int = 20_000, per_language: int = 20
     rate = seen.where("n > 1").join(F.broadcast(seen.sparkSession.createDataFrame(list(totals.items()), "lang string, total long")), "lang").withColumn("rate", F.col("n") / F.col("total"))
     top = F.max("rate").over(Window.partitionBy("gram"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    kept = rate.withColumn("top", top).where(F.col("rate") >= share * F.col("top")).withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "gram").toPandas()
+    kept = rate.withColumn("top", top).where(F.col("rate") >= share * F.col("top")).withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "gram", "n").toPandas()
     languages = sorted(totals)
-    filters = Filters(languages, np.zeros((positions, -(-len(languages) // 64)), np.uint64), hashes)
+    filters = Filters(languages, np.zeros((positions, -(-len(languages) // 64)), np.uint64), hashes, np.zeros(len(languages)))
     for k, lang in enumerate(languages):
-        filters.add(k, kept.loc[kept["lang"] == lang, "gram"].to_numpy(np.int64).view(np.uint64))
+        own = kept[kept["lang"] == lang]
+        filters.add(k, own["gram"].to_numpy(np.int64).view(np.uint64))
+        filters.cover[k] = own.loc[own["n"] > 2, "n"].sum() / totals[lang]  # seen twice or more elsewhere, too
     return filters
 
 
@@ -172,9 +177,14 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5, **options) -> DataFrame:
-    """docs without the rows in no learned language: `und`, or a score under `least`."""
+    """docs without the rows in no learned language: `und`, or a score under `least` of the share of n-grams that the
+    predicted language finds in texts of its own, so that neither rare languages nor those of many n-grams fall short."""
     key = F.col(id_col)
     labelled = docs.where(key.isNotNull() & ~held_out(key)).select(key.alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     plain = docs.select(*[F.col(c).alias(f"__{k}") for k, c in enumerate(docs.columns)])
-    judged = predict(plain, learn(labelled, **options), text_col=f"__{docs.columns.index(text_col)}")
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(docs.columns)])
+    filters = learn(labelled, **options)
+    judged = predict(plain, filters, text_col=f"__{docs.columns.index(text_col)}")
+    bars = [(lang, float(least * c)) for lang, c in zip(filters.languages, filters.cover)] if filters else []
+    bars = docs.sparkSession.createDataFrame(bars, "lang_pred string, __bar double")  # a row per language
+    judged = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).join(F.broadcast(bars), "lang_pred").where(F.col("score") >= F.col("__bar"))
+    return judged.select(*[F.col(f"__{k}").alias(c) for k, c in enumerate(docs.columns)])

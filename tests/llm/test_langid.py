@@ -59,6 +59,25 @@ def test_stage_keeps_clean_rows_whole(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([r for r in rows if r[0] not in (900, 901, 902, 903)], key=repr)
 
 
+def test_rare_language_is_learned_and_kept(spark):
+    many = spark.range(200_000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 6), k -> element_at(array('kato', 'miren', 'solka', 'tomi'), cast(pmod(xxhash64(id, k), 4) + 1 AS int)))) AS text", "'aa' AS lang")
+    few = [d for d in range(300_000, 300_100) if zlib.crc32(str(d).encode()) % 3 != 1][:2]  # 1 in 100,000, not held out
+    few = spark.createDataFrame([(d, sentence("cc", 60, d), "cc") for d in few], "doc_id long, text string, lang string")
+    docs = many.unionByName(few)
+    options = {"fit_rows": 200, "positions": 1 << 14}
+    found = identify(docs, **options).where("doc_id >= 300000").collect()
+    assert [r.lang_pred for r in found] == ["cc", "cc"]
+    assert keep_identified(docs, **options).where("doc_id >= 300000").count() == 2
+
+
+def test_language_of_many_ngrams_is_kept(spark):
+    rows = [(i, sentence("aa", 40, i), "aa") for i in range(90)]
+    rnd = random.Random(2)
+    rows += [(1000 + i, " ".join("".join(chr(0x4E00 + min(rnd.randrange(60), rnd.randrange(60))) for _ in range(3)) for _ in range(200)), "zz") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert keep_identified(docs, per_language=1000, positions=1 << 14).count() == 180  # few of the n-grams fit
+
+
 def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "abc", None, 1, "x", None)], SCHEMA)
     assert [tuple(r) for r in identify(df).collect()] == [(1, zlib.crc32(b"1") % 3 == 1, "und", 0.0)]
