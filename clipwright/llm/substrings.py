@@ -1,10 +1,13 @@
-"""Repeated passages: windows of words counted by a count-min sketch first, then exactly where it says repeated.
-
-Three scans of the texts. The first sketches the windows of each chunk of documents; the chunks' sketches merge into
-one, which never counts a window too low. The second sends on only the windows the sketch estimates at two or more and
-groups these exactly, by 64 bits of hash within buckets of an independent hash. The third takes the answers and removes
-words. A chunk is a run of rows within one scan partition, so docs must scan the same way each time, as files do;
-answers carry checksums, and a scan that differs raises an error.
+"""Repeated passages: a count-min sketch first, then exact groups of the windows it estimates to be repeated.
+
+Three scans of the texts. The first sketches each chunk of documents; the chunks' sketches merge into one, which never
+counts too low. What it counts are not the windows themselves but their anchors: of a window's runs of `gram` words the
+one with the least hash. Windows of equal words have equal anchors at equal offsets, so the places where a window's
+anchor was chosen are at least as many as the window's own: an overestimate of its count from a tenth of the entries.
+The second scan sends on only the windows estimated at two or more and groups these exactly, by 128 bits from two
+families of hashes that share nothing. The third takes the answers and removes words. A chunk is a run of rows within
+one scan partition, so docs must scan the same way each time, as files do; answers carry checksums, and a scan that
+differs raises an error.
 """
 
 from __future__ import annotations
@@ -33,9 +36,10 @@ FAN = 64
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
-#: Odd multipliers of the three polynomial hashes: bytes within a word, and words within a window twice over.
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-LETTERS = np.random.default_rng(35).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+#: Two families of hashes: a number for each byte, odd multipliers for bytes within a word and for words within a window.
+FAMILIES = tuple((np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1), of_bytes, of_words) for seed, of_bytes, of_words in ((35, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (53, 0xBF58476D1CE4E5B9, 0xA0761D6478BD642F)))
+#: Low bits that hold a place where the least hash is sought; texts have fewer words than that.
+PLACE = np.uint64((1 << 30) - 1)
 
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
@@ -52,15 +56,16 @@ def powers(base: int, n: int, inverse: bool = False) -> np.ndarray:
     return held[:n]
 
 
-def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[s:e] for each span, wherever it lies."""
+def spans(values: np.ndarray, base: int, *ends: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """For each pair (starts, ends), the polynomial hashes of values[s:e], wherever they lie."""
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers(base, len(values)))))
-    return (sums[ends] - sums[starts]) * powers(base, len(values), True)[starts]
+    back = powers(base, len(values), True)
+    return [(sums[e] - sums[s]) * back[s] for s, e in ends]
 
 
-def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes of the words of a text's bytes."""
-    starts, ends, hashes, at = [], [], [], 0
+def words(data: np.ndarray, families: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Starts of the words of a text's bytes, and their hashes in the first `families` families."""
+    starts, hashes, at = [], [[] for _ in range(families)], 0
     while at < len(data):
         stop = min(len(data), at + SPAN)
         if stop < len(data):  # cut between words
@@ -75,39 +80,54 @@ def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         s = np.nonzero(solid & np.concatenate(([True], ~solid[:-1])))[0]
         e = np.nonzero(solid & np.concatenate((~solid[1:], [True])))[0] + 1
         if len(s):
-            hashes.append(mix64(spans(LETTERS[part], s, e, BASES[0]) + (e - s).astype(np.uint64)))
+            for found, (letters, base, _) in zip(hashes, FAMILIES):
+                found.append(mix64(spans(letters[part], base, (s, e))[0] + (e - s).astype(np.uint64)))
             starts.append(s + at)
-            ends.append(e + at)
         at = stop
     join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    return join(starts, np.int64), join(ends, np.int64), join(hashes, np.uint64)
+    return join(starts, np.int64), [join(h, np.uint64) for h in hashes]
+
+
+def least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every `width` consecutive values."""
+    held, span = values, 1
+    while span * 2 <= width:
+        held, span = np.minimum(held[:-span], held[span:]), span * 2
+    return np.minimum(held[: len(held) - (width - span)], held[width - span :]) if span < width else held
 
 
-def windows(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of every window of `width` words."""
-    n = len(hashes) - width + 1
+def windows(hashes: list[np.ndarray], width: int, gram: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the windows of `width` words: the hashes of all runs of `gram` words, the place of each window's anchor among
+    them (the first of the least), and each window's hashes in the families given."""
+    n = len(hashes[0]) - width + 1
     if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    s = np.arange(n)
-    return mix64(spans(hashes, s, s + width, BASES[1])), mix64(spans(hashes, s, s + width, BASES[2]))
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), [np.zeros(0, np.uint64) for _ in hashes]
+    s, g = np.arange(n), np.arange(len(hashes[0]) - gram + 1)
+    runs, one = map(mix64, spans(hashes[0], FAMILIES[0][2], (g, g + gram), (s, s + width)))
+    places = least((runs & ~PLACE) | g.astype(np.uint64), width - gram + 1) & PLACE
+    return runs, places.astype(np.int64), [one] + [mix64(spans(h, FAMILIES[k][2], (s, s + width))[0]) for k, h in enumerate(hashes) if k]
 
 
 def text_bytes(text) -> bytes:
     return (text.as_py() or "").encode("utf-8", "surrogatepass")
 
 
-def hashed(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Both hashes of all windows of the texts, one text after the other, and each text's numbers of windows and words.
+def hashed(texts: list[bytes], width: int, gram: int, families: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Each text's numbers of windows and words, the anchors of the texts, and for all windows, one text after the
+    other, which of the anchors is theirs and their hashes.
 
     The texts are hashed together, a blank between them; windows across a border are dropped.
     """
     ends = np.cumsum([len(t) + 1 for t in texts])
-    starts, _, hashes = words(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8))
+    starts, hashes = words(np.frombuffer(b"\n".join(texts) + b"\n", np.uint8), families)
     owner = np.searchsorted(ends, starts, side="right")
-    one, two = windows(hashes, width)
-    within = owner[: len(one)] == owner[width - 1 :] if len(one) else np.zeros(0, bool)
+    runs, places, found = windows(hashes, width, gram)
+    within = owner[: len(places)] == owner[width - 1 :] if len(places) else np.zeros(0, bool)
+    places = places[within]
+    new = np.diff(places, prepend=-1) > 0  # places never step back
     n_words = np.bincount(owner, minlength=len(texts))
-    return one[within], two[within], np.maximum(n_words - width + 1, 0), n_words
+    anchors = mix64(runs[places[new]])  # mixed again, as the least of many hashes is a small number
+    return np.maximum(n_words - width + 1, 0), n_words, anchors, np.cumsum(new) - 1, [f[within] for f in found]
 
 
 def cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -143,7 +163,7 @@ class Sketch:
     rows: list[np.ndarray]
 
     def repeated(self, keys: np.ndarray) -> np.ndarray:
-        """Whether the least count among each key's cells is two or more."""
+        """Whether the least count among each key's cells, the estimate, is two or more."""
         out = np.ones(len(keys), bool)
         for row, at in zip(self.rows, cells(keys, self.bits)):
             out &= (row[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
@@ -152,16 +172,18 @@ class Sketch:
 
 @dataclass
 class Chunk:
-    """Hashes of all windows of consecutive rows of a scan partition, row after row."""
+    """Consecutive rows of a scan partition: numbers of windows and words by row, the anchors, and for all windows, row
+    after row, which anchor is theirs and their hashes in each family."""
 
     key: int
-    first: np.ndarray
-    second: np.ndarray
     lengths: np.ndarray
     words: np.ndarray
+    anchors: np.ndarray
+    anchor_of: np.ndarray
+    hashes: list[np.ndarray]
 
 
-def chunk_of(key: int, texts: list[bytes], width: int) -> Chunk:
+def chunk_of(key: int, texts: list[bytes], width: int, gram: int, families: int = 2) -> Chunk:
     """Hashes texts, about SPAN bytes at a time."""
     parts, at = [], 0
     while at < len(texts):
@@ -169,9 +191,11 @@ def chunk_of(key: int, texts: list[bytes], width: int) -> Chunk:
         while end < len(texts) and (end == at or size + len(texts[end]) <= SPAN):
             size += len(texts[end])
             end += 1
-        parts.append(hashed(texts[at:end], width))
+        parts.append(hashed(texts[at:end], width, gram, families))
         at = end
-    return Chunk(key, *(np.concatenate(p) for p in zip(*parts)))
+    lengths, n_words, anchors, anchor_of, hashes = zip(*parts)
+    shift = np.cumsum([0, *map(len, anchors)])
+    return Chunk(key, *map(np.concatenate, (lengths, n_words, anchors, [a + k for a, k in zip(anchor_of, shift)])), [np.concatenate(h) for h in zip(*hashes)])
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list, list[bytes]]]:
@@ -191,8 +215,8 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         yield part << 32 | seq, ids, texts
 
 
-def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sketch:
-    """The merged sketch of all windows: local ones per chunk and slice of cells, merged FAN salts at a time.
+def sketch(texts: DataFrame, width: int, gram: int, bits: int, most: int, salts: int) -> Sketch:
+    """The merged sketch of all anchors: local ones per chunk and slice of cells, merged FAN salts at a time.
 
     A merged slice is no larger than its cells, so no task holds more than FAN of them, whatever the input.
     """
@@ -201,8 +225,8 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sk
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, bodies in chunks(batches, most):
-            chunk = chunk_of(key, bodies, width)
-            keys, counts = np.unique(chunk.first, return_counts=True)
+            chunk = chunk_of(key, bodies, width, gram, 1)
+            keys, counts = np.unique(chunk.anchors, return_counts=True)
             rows = []
             for r, at in enumerate(cells(keys, bits)):
                 order = np.argsort(at, kind="stable")
@@ -250,71 +274,88 @@ def sketch(texts: DataFrame, width: int, bits: int, most: int, salts: int) -> Sk
     return Sketch(bits, rows)
 
 
+def runs_of(bucket: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the entries by all three, which distinct entry each is, and where the distinct ones begin in order."""
+    order = np.lexsort((two, one, bucket))
+    new = np.ones(len(order), bool)
+    for part in (bucket[order], one[order], two[order]):
+        new[1:] &= part[1:] == part[:-1]
+    new[1:] = ~new[1:]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order, which, np.nonzero(new)[0]
+
+
 def suspects(chunk: Chunk, counted: Sketch, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a chunk's windows that the sketch calls repeated: where they are, which distinct one each is, and the
-    distinct ones' bucket and hash in ascending order, with the number of each."""
-    at = np.nonzero(counted.repeated(chunk.first))[0]
-    key, bucket = chunk.first[at], (chunk.second[at] % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((key, bucket))
-    key, bucket = key[order], bucket[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])
-    which = np.empty(len(key), np.int64)
-    which[order] = np.cumsum(new) - 1
-    first = np.nonzero(new)[0]
-    return at, which, bucket[first], key[first], np.diff(first, append=len(key))
+    distinct ones' bucket and hashes (two columns) in ascending order, with the number of each."""
+    at = np.nonzero(counted.repeated(chunk.anchors)[chunk.anchor_of])[0]
+    one, two = (h[at] for h in chunk.hashes)
+    bucket = (mix64(one) % np.uint64(buckets)).astype(np.int64)
+    order, which, first = runs_of(bucket, one, two)
+    pick = order[first]
+    return at, which, bucket[pick], np.stack((one[pick], two[pick]), axis=1), np.diff(first, append=len(order))
+
+
+def checksum(keys: np.ndarray) -> int:
+    return int(keys.sum(dtype=np.uint64).view(np.int64))
 
 
-def answered(texts: DataFrame, width: int, counted, buckets: int, most: int) -> DataFrame:
+def answered(texts: DataFrame, width: int, gram: int, counted, buckets: int, most: int) -> DataFrame:
     """(chunk, bucket, n, sum, mask): which of a chunk's suspects in a bucket occur twice or more in all the texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Sketch(*counted.value)
         for chunk_key, _, bodies in chunks(batches, most):
-            chunk = chunk_of(chunk_key, bodies, width)
-            _, _, bucket, key, n = suspects(chunk, counted.value, buckets)
+            chunk = chunk_of(chunk_key, bodies, width, gram)
+            _, _, bucket, keys, n = suspects(chunk, seen, buckets)
             used, first = np.unique(bucket, return_index=True)
             ends = np.append(first[1:], len(bucket))
             if len(used):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(used.astype(np.int32)), pa.array(np.full(len(used), chunk.key)),
-                    pa.array([key[s:e].astype("<u8").tobytes() for s, e in zip(first, ends)], pa.binary()),
+                    pa.array([keys[s:e].astype("<u8").tobytes() for s, e in zip(first, ends)], pa.binary()),
                     pa.array([np.packbits(n[s:e] > 1).tobytes() for s, e in zip(first, ends)], pa.binary()),
                 ], ["bucket", "chunk", "keys", "more"])
 
     def group(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(k.as_py(), "<u8") for k in table.column("keys")]
+        asked = [np.frombuffer(k.as_py(), "<u8").reshape(-1, 2) for k in table.column("keys")]
         more = [np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(k)).astype(bool) for m, k in zip(table.column("more"), asked)]
-        key, which = np.unique(np.concatenate(asked), return_inverse=True)
-        twice = np.bincount(which, minlength=len(key)) > 1
-        twice |= np.bincount(which, np.concatenate(more), len(key)) > 0
+        whole = np.concatenate(asked)
+        _, which, first = runs_of(np.zeros(len(whole), np.int64), whole[:, 0], whole[:, 1])
+        twice = np.bincount(which, minlength=len(first)) > 1
+        twice |= np.bincount(which, np.concatenate(more), len(first)) > 0
         ends = np.cumsum([len(k) for k in asked])
         yes = [twice[which[e - len(k) : e]] for k, e in zip(asked, ends)]
         return pa.table({
             "chunk": table.column("chunk"), "bucket": table.column("bucket"), "n": pa.array([len(k) for k in asked], pa.int64()),
-            "sum": pa.array([int(k.sum(dtype=np.uint64).view(np.int64)) for k in asked], pa.int64()), "mask": pa.array([np.packbits(y).tobytes() for y in yes], pa.binary()),
+            "sum": pa.array([checksum(k) for k in asked], pa.int64()), "mask": pa.array([np.packbits(y).tobytes() for y in yes], pa.binary()),
         })
 
     asked = texts.mapInArrow(ask, "bucket int, chunk long, keys binary, more binary")
     return asked.groupBy("bucket").applyInArrow(group, "chunk long, bucket int, n long, sum long, mask binary")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, most_bits: int = 28, chunk_words: int = 1 << 19) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, gram: int = 16, most_bits: int = 28, chunk_words: int = 1 << 19) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_text.
 
     Removes every word in a window of `width` words whose word sequence also starts anywhere else in docs, in the same
     row included; windows are judged on the input. kept_text is the other words joined by one space. Null is the empty
     text; shorter texts than a window keep all their words; rows that repeat a doc_id are rows of their own, and copies
-    of each other. An empty table gives an empty result. `most_bits` bounds the sketch: beyond it more windows take the
-    exact pass, and none is lost. docs must be a plain scan of files (see the module); materialise anything else first.
+    of each other. An empty table gives an empty result; other columns are not looked at. Anchors are runs of `gram`
+    words (at most `width`). `most_bits` bounds the sketch: beyond it more windows take the exact pass, and none is
+    lost. docs must be a plain scan of files (see the module); materialise anything else first.
     """
-    spark = docs.sparkSession
+    spark, gram = docs.sparkSession, min(gram, width)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    bits = min(most_bits, max(16, int(size // 6 * 4).bit_length()))
+    anchors = size // 6 * 2 // (width - gram + 2)  # a random order has so many
+    bits = min(most_bits, max(16, int(anchors * 8).bit_length()))
     buckets = max(8, size // 6 // (1 << 21))
     salts = max(16, size // 6 // (FAN * chunk_words))
-    counted = spark.sparkContext.broadcast(sketch(texts, width, bits, chunk_words, salts))
-    replies = materialize(answered(texts, width, counted, buckets, chunk_words), "substring-replies")
+    merged = sketch(texts, width, gram, bits, chunk_words, salts)
+    counted = spark.sparkContext.broadcast((merged.bits, merged.rows))  # plain arrays: workers need no copy of this package
+    replies = materialize(answered(texts, width, gram, counted, buckets, chunk_words), "substring-replies")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, ids, bodies in chunks(batches, chunk_words):
@@ -323,18 +364,18 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.sort_by("nth")
         texts = left.column("text").to_pylist()
-        chunk = chunk_of(0, texts, width)
-        at, which, bucket, key, _ = suspects(chunk, counted.value, buckets)
+        chunk = chunk_of(0, texts, width, gram)
+        at, which, bucket, keys, _ = suspects(chunk, Sketch(*counted.value), buckets)
         used, first = np.unique(bucket, return_index=True)
         found = {r["bucket"]: r for r in right.to_pylist()}
-        yes = np.zeros(len(key), bool)
+        yes = np.zeros(len(keys), bool)
         if sorted(found) != used.tolist():
             raise RuntimeError("the texts were not scanned the same way twice")
         for b, s, e in zip(used.tolist(), first, np.append(first[1:], len(bucket))):
-            if found[b]["n"] != e - s or found[b]["sum"] != int(key[s:e].sum(dtype=np.uint64).view(np.int64)):
+            if found[b]["n"] != e - s or found[b]["sum"] != checksum(keys[s:e]):
                 raise RuntimeError("the texts were not scanned the same way twice")
             yes[s:e] = np.unpackbits(np.frombuffer(found[b]["mask"], np.uint8), count=e - s)
-        repeated = np.zeros(len(chunk.first), bool)
+        repeated = np.zeros(len(chunk.anchor_of), bool)
         repeated[at] = yes[which]
         n_removed, kept, end = [], [], 0
         for text, total, n in zip(texts, chunk.words.tolist(), chunk.lengths.tolist()):
