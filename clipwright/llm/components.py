@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.shared import materialize
+from clipwright.llm.shared import discard, materialize
 
 
 def merge_labels(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -43,13 +43,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = materialize(both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m")), "lowest")
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.unionByName(low.where("m < a").select("a", F.col("m").alias("b"))).distinct()
-        large = materialize(large, "stars")
-        low = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
-        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = materialize(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
-        was, seen = seen, _signature(now)
+        stars = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = materialize(stars.unionByName(low.where("m < a").select("a", F.col("m").alias("b"))).distinct(), "stars")
+        lower = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
+        small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        after = materialize(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(now, low, large, lower)
+        now, was, seen = after, seen, _signature(after)
         if was == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     raise RuntimeError(f"components not settled after {max_rounds} rounds")

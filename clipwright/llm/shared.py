@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.scratch import materialize, shared_dir
+from clipwright.scratch import discard, materialize, shared_dir
 
-__all__ = ["WORD", "materialize", "shared_dir", "skew_safe_lookup", "word_count"]
+__all__ = ["WORD", "discard", "materialize", "shared_dir", "skew_safe_lookup", "word_count"]
 
 #: A word is a longest run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
