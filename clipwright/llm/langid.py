@@ -30,16 +30,49 @@ def letters() -> np.ndarray:
     return _letters[0]
 
 
+def keys_of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the letters in points (without its two ends), and for each the 64-bit key of the trigram around it;
+    non-letters are one sign."""
+    part = points.astype(np.uint64)
+    part[~letters()[points]] = 0
+    middle = np.nonzero(part[1:-1])[0]
+    return middle, (part[middle] << np.uint64(42)) | (part[middle + 1] << np.uint64(21)) | part[middle + 2]
+
+
 def grams(text: str | None) -> Iterator[np.ndarray]:
-    """64-bit keys of the text's trigrams whose middle is a letter, block by block; non-letters are one sign, case is folded."""
-    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    known = letters()
-    for k in range(0, len(points), SPAN):
-        part = points[max(0, k - 1) : k + SPAN + 1].astype(np.uint64)
-        part = np.concatenate(([np.uint64(0)] if k == 0 else [], part, [np.uint64(0)] if k + SPAN >= len(points) else [])).astype(np.uint64)
-        part[~known[part.astype(np.int64)]] = 0
-        middle = np.nonzero(part[1:-1])[0]
-        yield (part[middle] << np.uint64(42)) | (part[middle + 1] << np.uint64(21)) | part[middle + 2]
+    """Keys of the text's trigrams whose middle is a letter, block by block; case is folded."""
+    points = np.frombuffer(("\0" + (text or "").lower() + "\0").encode("utf-32-le", "surrogatepass"), "<u4")
+    for k in range(0, len(points) - 2, SPAN):
+        yield keys_of(points[k : k + SPAN + 2])[1]
+
+
+def gathered(texts: Iterator[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """All texts in order, about SPAN code points at a time: the first one's number, the keys of each one's trigrams end
+    to end, and how many each has. A longer text comes alone and in several parts."""
+    held, size, first = [], 0, 0
+
+    def together() -> tuple[int, np.ndarray, np.ndarray]:
+        ends = np.cumsum([len(t) + 1 for t in held])
+        middle, keys = keys_of(np.frombuffer(("\0" + "\0".join(held) + "\0").encode("utf-32-le", "surrogatepass"), "<u4"))
+        return first, keys, np.bincount(np.searchsorted(ends, middle, side="right"), minlength=len(held))
+
+    n = 0
+    for text in texts:
+        if len(text or "") > SPAN:
+            if held:
+                yield together()
+            for keys in grams(text):
+                yield n, keys, np.array([len(keys)])
+            held, size, first = [], 0, n + 1
+        else:
+            held.append((text or "").lower())
+            size += len(held[-1])
+            if size > SPAN:
+                yield together()
+                held, size, first = [], 0, n + 1
+        n += 1
+    if held:
+        yield together()
 
 
 @dataclass
@@ -47,7 +80,7 @@ class Filters:
     """One Bloom filter per language, sliced by bit: row p holds, for every language, whether its filter has bit p set."""
 
     languages: list[str]
-    cells: np.ndarray  # (positions, words of 64 languages), unsigned 64-bit
+    cells: np.ndarray  # (positions: a power of two, words of 64 languages), unsigned 64-bit
     hashes: int
     cover: np.ndarray | None = None  # for each language, the share of its own n-grams it would find in a text not learned from
 
@@ -55,7 +88,7 @@ class Filters:
         one = mix64(keys)
         two = mix64(keys ^ np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         for h in range(self.hashes):
-            yield ((one + np.uint64(h) * two) % np.uint64(len(self.cells))).astype(np.int64)
+            yield ((one + np.uint64(h) * two) & np.uint64(len(self.cells) - 1)).astype(np.int64)
 
     def add(self, language: int, keys: np.ndarray) -> None:
         bit = np.uint64(1 << (language % 64))
@@ -69,13 +102,15 @@ class Filters:
             out = self.cells[at] if out is None else out & self.cells[at]
         return out
 
-    def popcounts(self, keys: np.ndarray) -> np.ndarray:
-        """How many of the keys each language's filter contains."""
-        masks = np.ascontiguousarray(self.having(keys)).view(np.uint8)
-        counts = np.zeros(masks.shape[1] * 8, np.int64)
-        for k in range(0, len(masks), SPAN):
-            counts += np.unpackbits(masks[k : k + SPAN], axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        return counts[: len(self.languages)]
+    def popcounts(self, keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many of the keys each language's filter contains: a row for each of the runs of keys that sizes are of."""
+        masks, out = self.having(keys), np.zeros((len(sizes), len(self.languages)), np.int64)
+        some = np.nonzero(sizes)[0]
+        if len(some):
+            starts = np.cumsum(sizes)[some] - sizes[some]
+            for k in range(len(self.languages)):
+                out[some, k] = np.add.reduceat(masks[:, k // 64] >> np.uint64(k % 64) & np.uint64(1), starts)
+        return out
 
     def false_positives(self) -> np.ndarray:
         """Each filter's chance of containing a key that was never added."""
@@ -136,27 +171,23 @@ def predict(docs: DataFrame, filters: Filters | None, *, text_col: str = "text")
     the language with the most is predicted (ties: the first by name) and score is its corrected share of n, 0 to 1.
     Texts that are null or have no letter get `und` and 0, as do all texts if nothing was learned.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((filters, filters.false_positives() if filters else None))  # cells: bounded by the parameters of learn()
+    # plain arrays, bounded by the parameters of learn(): workers need no copy of this package
+    sent = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.cells, filters.hashes, filters.false_positives()) if filters else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wrong = sent.value
+        languages, cells, hashes, wrong = sent.value or ([UNKNOWN], np.zeros((1, 1), np.uint64), 1, np.zeros(1))
+        known = Filters(languages, cells, hashes)
         for batch in batches:
-            langs, scores = [], []
-            for text in batch.column(0):
-                n, counts = 0, 0
-                if known is not None:
-                    for keys in grams(text.as_py()):
-                        if len(keys):
-                            n, counts = n + len(keys), counts + known.popcounts(keys)
-                if n:
-                    right = np.clip((counts - wrong * n) / (1 - wrong), 0, n)
-                    best = int(right.argmax())
-                    langs.append(known.languages[best])
-                    scores.append(float(right[best] / n))
-                else:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names[1:], "lang_pred", "score"])
+            n, counts = np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, len(languages)), np.int64)
+            for first, keys, sizes in gathered(text.as_py() for text in batch.column(0)):
+                n[first : first + len(sizes)] += sizes
+                counts[first : first + len(sizes)] += known.popcounts(keys, sizes)
+            right = np.clip((counts - wrong * n[:, None]) / (1 - wrong), 0, n[:, None])
+            best = right.argmax(axis=1)
+            judged = (n > 0) & (sent.value is not None)
+            langs = pa.array([languages[b] if j else UNKNOWN for b, j in zip(best.tolist(), judged.tolist())], pa.string())
+            scores = pa.array(np.where(judged, right[np.arange(len(n)), best] / np.maximum(n, 1), 0.0))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], langs, scores], [*batch.schema.names[1:], "lang_pred", "score"])
 
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
     whole = docs.select(F.col(text_col).cast("string").alias("__text"), *rest)
@@ -178,7 +209,12 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_identified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", least: float = 0.5, **options) -> DataFrame:
     """docs without the rows in no learned language: `und`, or a score under `least` of the share of n-grams that the
-    predicted language finds in texts of its own, so that neither rare languages nor those of many n-grams fall short."""
+    predicted language finds in texts of its own, so that neither rare languages nor those of many n-grams fall short.
+
+    Rows whose text is null or has no letter go, as do all rows if nothing could be learned; rows without an id are
+    judged but not learned from; repeated rows are judged alike. An empty table gives an empty one. All columns come
+    back as they were, whatever their names.
+    """
     key = F.col(id_col)
     labelled = docs.where(key.isNotNull() & ~held_out(key)).select(key.alias("key"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     plain = docs.select(*[F.col(c).alias(f"__{k}") for k, c in enumerate(docs.columns)])
