@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clipwright.llm.shared import materialize, skew_safe_lookup
+from clipwright.llm.shared import materialize, row_hash, set_aside, skew_safe_lookup
 
 
 def sha256(text: Column) -> Column:
@@ -34,7 +34,7 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     verdict. An empty table gives an empty result; columns other than the two named are never looked at.
     `digest` only deals rows out: texts that share a digest by chance are told apart by their content.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", digest(F.col("text")))
     groups = materialize(combined(rows, salts).select("digest", "keep_id", "group_size"), "exact-groups")
     clashes = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
@@ -52,10 +52,17 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_exact_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """docs with one row left of each group of equal texts, all columns as they came."""
-    plan = docs.withColumns({"__text": F.coalesce(F.col(text_col), F.lit("")), "__id": F.col(id_col).cast("long")}).withColumn("__digest", sha256(F.col("__text")))
-    rows = plan.select(F.col("__id").alias("doc_id"), F.col("__text").alias("text"), F.col("__digest").alias("digest"))
-    stay = materialize(combined(rows, salts).select(F.col("digest").alias("__stay"), F.col("keep_id").alias("__keep")), "exact-stay")
-    met = plan.join(stay, (F.col("__digest") == F.col("__stay")) & F.col("__id").eqNullSafe(F.col("__keep")), "left_semi")
-    once = Window.partitionBy("__id", "__digest").orderBy(F.lit(0))
-    return met.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").select(*docs.columns)
+    """docs with one row left of each group of equal texts, the one with the largest doc_id; all columns as they came,
+    whatever their names.
+
+    Null counts as the empty text, and null ids rank below all others. Of rows alike in doc_id and text one stays,
+    chosen by a hash of all columns. An empty table gives an empty one.
+    """
+    doc_id, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"), sha256(text).alias("digest"))
+    stay = materialize(combined(rows, salts).select(F.col("digest").alias("stay"), F.col("keep_id").alias("stay_id")), "exact-stay")
+    plan = set_aside(docs, id=doc_id, digest=sha256(text), order=row_hash(docs))
+    met = plan.join(stay, (F.col("digest") == F.col("stay")) & F.col("id").eqNullSafe(F.col("stay_id")), "left_semi")
+    once = F.row_number().over(Window.partitionBy("id", "digest").orderBy("order"))
+    met = met.withColumn("nth", once).where("nth = 1")
+    return met.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clipwright.scratch import discard, materialize, shared_dir
 
-__all__ = ["WORD", "discard", "materialize", "shared_dir", "skew_safe_lookup", "word_count"]
+__all__ = ["WORD", "discard", "materialize", "row_hash", "set_aside", "shared_dir", "skew_safe_lookup", "word_count"]
 
 #: A word is a longest run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,6 +18,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def set_aside(docs: DataFrame, **columns: Column) -> DataFrame:
+    """docs with its columns renamed c0, c1 ... and further ones added, so that no name of docs can clash with them."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], *[v.alias(n) for n, v in columns.items()])
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns that can be hashed: rows that tie in it are alike, so reruns choose alike."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+
+
 def skew_safe_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, share: int = 1000) -> DataFrame:
     """Inner join of rows with table (unique, non-null key), where table[size] counts the rows of each key.
 

@@ -45,6 +45,15 @@ def test_drop_keeps_one_row_and_all_columns(spark):
     assert left[0].__fields__ == df.columns
 
 
+def test_drop_with_clashing_columns_and_repeated_ids(spark):
+    rows = [(1, "a", "first", "p"), (1, "a", "second", "q"), (1, "b", "third", "r"), (None, "c", "x", "s"), (None, "c", "y", "t"), (2, None, "x", "u"), (3, "", "x", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string, digest string").selectExpr("*", "map(id, digest) as order", "id as nth", "id as c0")
+    runs = [sorted(map(repr, drop_exact_copies(df.repartition(n)).collect())) for n in (1, 3)]
+    left = drop_exact_copies(df).collect()
+    assert runs[0] == runs[1] and left[0].__fields__ == df.columns and all(r.id == r.nth == r.c0 for r in left)
+    assert sorted(((r.doc_id, r.text) for r in left), key=repr) == sorted([(1, "a"), (1, "b"), (None, "c"), (3, "")], key=repr)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert exact_groups(df).collect() == [] and drop_exact_copies(df).collect() == []

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from clipwright.llm.mixing import draw, mix, mix_report, mixed_documents, sized, targets
+from clipwright.llm.mixing import block_size, draw, mix, mix_report, mixed_documents, sized, targets
 from clipwright.llm.permute import permute, round_keys
 
 SCHEMA = "doc_id long, text string, source string, n_chars long, block int, words string"
@@ -48,6 +48,61 @@ def test_report(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, mix_report(df, block_words=16, shards=8).collect()))
 
 
+def plainly_taken(spark, rows, block_words, shards, seed=17):
+    """Words taken of each (source, doc_id, size), by walking through the slots one by one."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = [(r[0], r[2], size(r[1])) for r in rows]
+    per = defaultdict(int)
+    for _, s, n in sizes:
+        per[s] += n
+    wanted, order = targets(list(per.items())), sorted(per, key=lambda s: (s is None, s or ""))
+    blocks = np.array([-(-per[s] // block_words) for s in order])
+    quotas = np.array([round(wanted[s] * b / per[s]) if b else 0 for s, b in zip(order, blocks)])
+    drawn, taken = draw(quotas, shards, seed), Counter()
+    hashed = spark.createDataFrame([(k, d, n) for k, (d, _, n) in enumerate(sizes)], "k long, doc_id long, size long").selectExpr("k", "pmod(xxhash64(doc_id, size), 256)").collect()
+    hashed = dict(map(tuple, hashed))
+    for k, s in enumerate(order):
+        line = sorted((i for i, x in enumerate(sizes) if x[1] == s and x[2]), key=lambda i: (hashed[i], sizes[i][0] is not None, sizes[i][0] or 0, sizes[i][2]))
+        whose = [sizes[i] for i in line for _ in range(sizes[i][2])]
+        for slot in range(int(drawn[:, k].sum())):
+            turn, place = divmod(slot, int(blocks[k]))
+            block = int(permute(np.array([place]), int(blocks[k]), round_keys(seed, k, turn))[0])
+            taken.update(whose[block * block_words : (block + 1) * block_words])
+    return taken
+
+
+def test_taken_is_what_a_plain_walk_takes(spark):
+    df, rows = documents(spark)
+    taken = Counter()
+    source = {r[0]: r[2] for r in rows}
+    for r in mix_report(df, block_words=16, shards=8).collect():
+        taken[r.doc_id, source[r.doc_id], r["size"]] += r.taken
+    assert +taken == +plainly_taken(spark, rows, 16, 8)
+
+
+def test_block_sizes():
+    assert [block_size(n) for n in (0, 1, 10**5, 32 << 14, 64 << 14, 10**7, 10**12)] == [32, 32, 32, 32, 64, 512, 4096]
+
+
+def test_rows_alike_are_placed_by_several_tasks_and_reruns_agree(spark):
+    rows = [(None if i % 3 else i, "same four words here" if i % 3 else f"w{i} " * (i % 9), "s" if i % 4 else None, 0, 1, "x") for i in range(1200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    runs = [sorted(map(repr, mix_report(df.repartition(n), block_words=16, shards=4, hot_rows=h).collect())) for n, h in ((1, 100), (6, 100))]
+    got = mix_report(df.repartition(3), block_words=16, shards=4, hot_rows=100).collect()
+    assert runs[0] == runs[1] and len(got) == 1200 and all(r.taken <= 2 * r["size"] for r in got)
+    per = defaultdict(lambda: [0, 0.0])
+    for r in got:
+        per[r.source_size][0] += r.taken
+        per[r.source_size][1] = r.target
+    assert all(abs(n - t) <= 32 for n, t in per.values())
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c", "s", "keep", 5), (2, None, None, "no", 6)], "doc_id long, text string, source string, uid string, size int").selectExpr("*", "uid as c0", "uid as taken", "size as runs")
+    out = mixed_documents(df).collect()
+    assert out and out[0].__fields__ == df.columns and {(r.doc_id, r.uid, r["size"], r.c0, r.taken, r.runs) for r in out} == {(1, "keep", 5, "keep", "keep", 5)}
+
+
 def test_slots_hold_whole_blocks(spark):
     df, _ = documents(spark)
     _, pieces = mix(sized(df, "doc_id", "text", "source"), block_words=16, shards=8)
