@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from clipwright.llm.permute import permute, round_keys
 from clipwright.llm.token_shards import read_from, shards, write_shards
 from clipwright.llm.tokens import encode, vocabulary_path
 
@@ -45,6 +46,24 @@ def test_seed_decides_the_order(spark):
     assert one == order(1) and one != order(2) and sorted(one) == list(range(100)) and one != list(range(100))
 
 
+def test_same_shards_from_any_partitioning(spark):
+    df, _ = documents(spark)
+    df = df.unionByName(df.where("doc_id < 40"))
+    found = [list(map(tuple, shards(df.repartition(n), length=64, shard_rows=32).orderBy("shard").collect())) for n in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
+def test_slots_are_the_permutation_of_a_plain_order(spark):
+    df, texts = documents(spark)
+    keyed = spark.createDataFrame([(i, t or "", k) for i, t in texts for k in range(-(-len(encode(t, vocabulary_path())) // 64))], "doc_id long, text string, part int")
+    keyed = keyed.selectExpr("doc_id", "xxhash64(text) as digest", "part").selectExpr("pmod(xxhash64(doc_id, digest, part), 8)", "doc_id", "digest", "part").collect()
+    plain = sorted(map(tuple, keyed), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3]))
+    slots = permute(np.arange(len(plain)), len(plain), round_keys(5))
+    want = {int(s): (r[1], r[3]) for s, r in zip(slots, plain)}
+    got = {r.slot: (r.doc_id, r.part) for r in read_from(shards(df, length=64, shard_rows=32), shard_rows=32).collect()}
+    assert got == want
+
+
 def test_ids_too_large_for_the_width(spark):
     df = spark.createDataFrame([(1, "some text with large ids")], "doc_id long, text string")
     with pytest.raises(Exception, match="needs more than 1 bytes"):
