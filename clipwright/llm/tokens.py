@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
 
@@ -54,21 +55,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: Runs of blanks on which the quick encoder's pattern runs out of stack.
-LONG_BLANKS = tuple(c * 10_000 for c in " \n\t\r\u00a0")
+#: Runs of this many blanks go to the library's own encoder: the quick one's pattern keeps a state for each character of
+#: a run, and has no room for some hundred thousand.
+LONG_RUN = 50_000
+
+
+def long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and any(m.end() - m.start() >= LONG_RUN for m in re.finditer(r"\s{64}\s*+", text))
 
 
 def encode(text: str | None, path: str, special: str = "<|endoftext|>") -> np.ndarray:
     """Ids of one text, then END, as little-endian unsigned 32-bit integers; null is the empty text."""
     if not text:
         return np.array([END], "<u4")
-    fast = None if special in text or any(b in text for b in LONG_BLANKS) else quick(path)
-    try:
-        ids = fast.encode_ordinary(text) if fast else tokenizer(path).encode(text, add_special_tokens=False).ids
-    except BaseException as failure:  # other long runs of blanks: the encoder gives up, and stays usable
-        if type(failure).__name__ != "PanicException":
-            raise
-        ids = tokenizer(path).encode(text, add_special_tokens=False).ids
+    fast = None if special in text or long_run(text) else quick(path)
+    ids = fast.encode_ordinary(text) if fast else tokenizer(path).encode(text, add_special_tokens=False).ids
     ids.append(END)
     return np.array(ids, "<u4")
 

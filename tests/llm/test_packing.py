@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -7,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from clipwright.llm.packing import best_fit, cut, knapsack, pack, places, plan
-from clipwright.llm.tokens import encode, quick, tokenizer, vocabulary_path
+from clipwright.llm.tokens import LONG_RUN, encode, long_run, quick, tokenizer, vocabulary_path
 
 
 @settings(max_examples=150, deadline=None)
@@ -24,6 +25,55 @@ def test_special_strings_and_long_words():
     assert quick(path) is not None
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u00a0", "\u3000", "\x85", " \n"])
+def test_both_sides_of_the_longest_run(blank):
+    path = vocabulary_path()
+    for n in (LONG_RUN - 2, LONG_RUN - 1, LONG_RUN, LONG_RUN + 1):
+        run = (blank * n)[:n]
+        for t in (run, "a" + run + "b", ("x" + run) * 2):
+            assert long_run(t) == (n >= LONG_RUN)
+            want = [*tokenizer(path).encode(t, add_special_tokens=False).ids, 2]
+            assert encode(t, path).tolist() == want and (n >= LONG_RUN or quick(path).encode_ordinary(t) == want[:-1])
+
+
+def test_both_encoders_agree_on_every_code_point():
+    path = vocabulary_path()
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x30000 or c % 64 == 0)]  # beyond: hardly any is assigned
+    for k in range(0, len(points), 4096):
+        text = "".join(f"a{c}b1{c}2 {c} \n{c}'{c}" for c in map(chr, points[k : k + 4096]))
+        assert quick(path).encode_ordinary(text) == tokenizer(path).encode(text, add_special_tokens=False).ids, hex(points[k])
+
+
+def fewest(lengths, capacity):
+    """The least number of bins, by trying everything."""
+    best = [len(lengths)]
+
+    def place(k, bins):
+        if len(bins) >= best[0]:
+            return
+        if k == len(lengths):
+            best[0] = len(bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] + lengths[k] <= capacity and bins[i] not in bins[:i]:
+                place(k + 1, [*bins[:i], bins[i] + lengths[k], *bins[i + 1 :]])
+        place(k + 1, [*bins, lengths[k]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_plans_of_small_cases_are_near_the_fewest():
+    rnd, more = random.Random(3), 0
+    for _ in range(150):
+        lengths = sorted((rnd.randint(1, 20) for _ in range(rnd.randint(1, 12))), reverse=True)
+        counts = np.bincount(lengths, minlength=21)
+        used, least = sum(n for _, n in plan(counts)), fewest(lengths, 20)
+        assert least <= used <= least + 1
+        more += used - least
+    assert more <= 0.1 * 150
+
+
 def test_knapsack_is_best():
     rng = np.random.default_rng(0)
     for _ in range(20):
