@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipwright.scratch import discard, materialize, shared_dir
 
-__all__ = ["WORD", "discard", "materialize", "row_hash", "set_aside", "shared_dir", "skew_safe_lookup", "word_count"]
+__all__ = ["WORD", "discard", "materialize", "per_tile", "row_hash", "set_aside", "shared_dir", "skew_safe_lookup", "word_count"]
 
 #: A word is a longest run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -40,3 +43,27 @@ def skew_safe_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, sha
     found = marked.where("__hot").drop("__hot")
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return found.unionByName(rest)
+
+
+def per_tile(rows: DataFrame, tile: str, tiles: int, work: Callable[[list[dict]], pa.RecordBatch | None], schema: str) -> DataFrame:
+    """work's results over the rows of each tile; tiles are numbered from 0 and dealt to tasks by number, some eight to
+    a task, so that no task gets many more than another. Tiles are of bounded size, as are the rows of one task."""
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism * 2, min(20_000, tiles // 8))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {name: batch.column(c)[k].as_py() for c, name in enumerate(batch.schema.names)}
+                if held and held[0][tile] != row[tile]:
+                    done = work(held)
+                    if done is not None:
+                        yield done
+                    held = []
+                held.append(row)
+        if held:
+            done = work(held)
+            if done is not None:
+                yield done
+
+    return rows.repartitionById(parts, F.pmod(F.col(tile), F.lit(parts)).cast("int")).sortWithinPartitions(tile).mapInArrow(run, schema)

@@ -6,7 +6,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from pyspark.sql.window import Window
 
 from clipwright.llm.components import connected_components, merge_labels
 from clipwright.llm.permute import mix64
-from clipwright.llm.shared import materialize, skew_safe_lookup
+from clipwright.llm.shared import materialize, per_tile, row_hash, set_aside, skew_safe_lookup
 
 #: Cells of one exclusive-or matrix held at a time.
 CELLS = 1 << 21
@@ -110,48 +109,56 @@ def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, first: int, same: bool
             yield i, j
 
 
-def linked(nodes: DataFrame, radius: int, tile_rows: int, width: int = 1, first: int | None = None) -> DataFrame:
-    """nodes (fp unique, ones, rep) to edges (a, b) between reps: a spanning forest of every compared pair of tiles' links.
+def tiles_of(counts: dict[int, int], reach: int, rows: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """For each cell from 0 up: its first tile, its number of tiles (at least 1 for a division), and the first and last
+    tile that its tiles meet, in cells at most `reach` away."""
+    top = max(counts, default=0) + 1
+    n = [-(-counts.get(c, 0) // rows) for c in range(top)]
+    base = np.concatenate(([0], np.cumsum(n))).astype(int).tolist()
+    return base[:top], [max(1, k) for k in n], [base[max(0, c - reach)] for c in range(top)], [base[min(top, c + reach + 1)] - 1 for c in range(top)]
 
-    A tile holds fingerprints of one population count, which bounds the distance from below: only tiles whose counts
-    are within `radius` meet.
+
+def linked(nodes: DataFrame, radius: int, tile_rows: int, width: int = 1, first: int | None = None, *, reach: int | None = None) -> DataFrame:
+    """nodes (fp unique, cell, rep) to edges (a, b) between reps: a spanning forest of every compared pair of tiles' links.
+
+    A tile holds fingerprints of one cell: a population count, which bounds the distance from below, or a band of them.
+    Only tiles of cells at most `reach` apart (by default `radius`, for counts themselves) meet; their pairs are dealt
+    out by number, so that every task compares as many.
     """
-    top = 64 * width + 1
-    counts = dict(nodes.groupBy("ones").count().collect())  # a row per population count
+    reach = radius if reach is None else reach
+    counts = dict(nodes.groupBy("cell").count().collect())  # a row per population count
     total = sum(counts.values())
-    rows = max(tile_rows, min(1 << 18, total // 512))
-    tiles = [-(-counts.get(k, 0) // rows) for k in range(top)]
-    base = np.concatenate(([0], np.cumsum(tiles))).astype(int).tolist()
-    at = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("ones") + 1)
-    dealt = nodes.withColumns({
-        "tile": at(base[:top]) + F.pmod(F.xxhash64("fp"), at([max(1, t) for t in tiles])).cast("int"),
-        "low": at([base[max(0, k - radius)] for k in range(top)]),
-        "high": at([base[min(top, k + radius + 1)] - 1 for k in range(top)]),
-    })
-    packed = dealt.groupBy("tile", "low", "high").agg(F.collect_list("fp").alias("fps"), F.collect_list("rep").alias("reps"))
-    met = packed.select("tile", "fps", "reps", F.explode(F.sequence("low", "high")).alias("other"))
-    met = met.select("tile", "fps", "reps", F.least("tile", "other").alias("x"), F.greatest("tile", "other").alias("y"))
-    pairs = sum(base[min(top, k + radius + 1)] - base[k] for k in range(top) for _ in range(tiles[k]))
-    parts = max(nodes.sparkSession.sparkContext.defaultParallelism * 2, min(4000, pairs // 16))
-
-    def compare(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
-        same = key[0] == key[1]
-        sides = [(np.frombuffer(b"".join(map(bytes, f)), ">u8").astype(np.uint64).reshape(-1, width), np.asarray(r, np.int64)) for f, r in zip(tile["fps"], tile["reps"])]
+    base, n, low, high = tiles_of(counts, reach, max(tile_rows, min(1 << 16, total // 512)))
+    at = lambda values: F.element_at(F.array(*[F.lit(int(v)) for v in values]), F.col("cell") + 1)
+    dealt = nodes.withColumn("tile", at(base) + F.pmod(F.xxhash64("fp"), at(n)).cast("int")).select("tile", at(low).alias("low"), at(high).alias("high"), "fp", "rep")
+
+    def pack(tile: pa.Table) -> pa.Table:
+        fps = b"".join(tile.column("fp").to_pylist())
+        return pa.table({**{c: tile.column(c)[:1] for c in ("tile", "low", "high")}, "fps": pa.array([fps], pa.binary()), "reps": pa.array([tile.column("rep").to_numpy().tobytes()], pa.binary())})
+
+    packed = dealt.groupBy("tile").applyInArrow(pack, "tile int, low int, high int, fps binary, reps binary")
+    met = packed.withColumn("other", F.explode(F.sequence("low", "high")))
+    x, y = F.least("tile", "other"), F.greatest("tile", "other")
+    most = max((h - b + 1 for b, h in zip(base, high)), default=1)  # partners of a tile from its own number up
+    pairs = sum(h - t + 1 for b, k, h in zip(base, n, high) for t in range(b, b + k))
+    met = met.select((x.cast("long") * most + y - x).alias("pair"), (F.col("tile") == F.col("other")).alias("same"), "fps", "reps")
+
+    def links(sides: list[dict]) -> pa.RecordBatch | None:
+        same = sides[0]["same"]
         if len(sides) < 2 and not same:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        (a, reps), (b, others) = sides[0], sides[-1]
-        shift = 0 if same else len(a)
-        reps = reps if same else np.concatenate((reps, others))
-        labels = np.arange(len(reps))
-        for i, j in near_pairs(a, b, radius, radius if first is None else first, same):
+            return None  # a tile that holds nothing
+        prints = [np.frombuffer(s["fps"], ">u8").astype(np.uint64).reshape(-1, width) for s in sides]
+        reps = np.concatenate([np.frombuffer(s["reps"], "<i8") for s in sides])
+        labels, shift = np.arange(len(reps)), 0 if same else len(prints[0])
+        for i, j in near_pairs(prints[0], prints[-1], radius, radius if first is None else first, same):
             merge_labels(labels, i, j + shift)
         tied = np.nonzero(labels != np.arange(len(labels)))[0]
-        return pd.DataFrame({"a": reps[tied], "b": reps[labels[tied]]})
+        return pa.RecordBatch.from_arrays([pa.array(reps[tied], pa.int64()), pa.array(reps[labels[tied]], pa.int64())], ["a", "b"])
 
-    return met.repartition(parts, "x", "y").groupBy("x", "y").applyInPandas(compare, "a long, b long")
+    return per_tile(met, "pair", pairs, links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, width: int = 1, first: int | None = None, tile_rows: int = 8192) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3, width: int = 1, first: int | None = None, tile_rows: int = 4096) -> DataFrame:
     """One row per input row: doc_id, fingerprint (16 hex digits for each of `width` words), component_id.
 
     Fingerprints link at `radius` or fewer differing bits (and `first` or fewer in the first word, if given);
@@ -163,32 +170,34 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """
     prints = materialize(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, width=width), "fingerprints")
     nodes = materialize(prints.groupBy("fp", "ones").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "fingerprint-nodes")
-    found = connected_components(linked(nodes.where("rep is not null").select("fp", "ones", "rep"), radius, tile_rows, width, first))
+    found = connected_components(linked(nodes.where("rep is not null").select("fp", F.col("ones").alias("cell"), "rep"), radius, tile_rows, width, first))
     named = nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", "n", F.coalesce("component", "rep").alias("component_id"))
     whole = skew_safe_lookup(prints, materialize(named, "fingerprint-names"), "fp", "n")
     return whole.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def similar(sets: DataFrame, similarity: float, radius: int, first: int, width: int, block_rows: int = 1024, block_size: int = 1 << 19) -> DataFrame:
-    """sets (component, doc_id, fp, size, hashes) to edges (a, b) between doc_ids: a spanning forest of every tile's
-    pairs of sets with a Jaccard similarity of `similarity` or more, of those of one component whose fingerprints are near.
+def similar(sets: DataFrame, similarity: float, radius: int, first: int, width: int, block_rows: int = 1024, block_size: int = 1 << 19, pivots: int = 8) -> DataFrame:
+    """sets (component, node, fp, size, hashes) to edges (a, b) between nodes that connect whatever pairs of sets have a
+    Jaccard similarity of `similarity` or more, of those of one component whose fingerprints are near.
 
-    Large components are dealt to blocks and compared block against block, small ones share a tile.
+    Small components share a tile. Large ones are dealt to blocks, each compared within itself and with some of the
+    component's sets, the pivots, which tie the blocks of a group of copies together. What is not tied to the
+    component's largest group after that, the strays, meets all blocks; sets already connected are not compared.
     """
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block_rows, F.sum("size") / block_size, F.lit(1.0))).cast("int")
     sizes = materialize(sets.groupBy("component").agg(blocks.alias("blocks"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("volume")), "near-sizes")
     n, volume = sizes.where("blocks = 1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("volume"), F.lit(0))).head()
     shared = max(1, 2 * n // block_rows, 2 * volume // block_size)
-    dealt = sets.join(sizes.select("component", "blocks"), "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
-    dealt = dealt.withColumns({"big": F.col("blocks") > 1, "other": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))})
-    dealt = dealt.withColumns({"tile": F.when(F.col("big"), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(shared))), "x": F.least("block", "other"), "y": F.greatest("block", "other")})
+    dealt = sets.join(sizes.select("component", "blocks"), "component").withColumns({"block": F.pmod(F.xxhash64("node"), "blocks").cast("int"), "big": F.col("blocks") > 1})
+    columns = ["big", "tile", "x", "y", "side", "label", "node", "fp", "hashes"]
 
     def compare(key: tuple, part: pa.Table) -> pa.Table:
-        ids, block = part.column("doc_id").to_numpy(), part.column("block").to_numpy()
+        ids, label = part.column("node").to_numpy(), part.column("label").to_numpy()
         prints = np.frombuffer(b"".join(part.column("fp").to_pylist()), ">u8").astype(np.uint64).reshape(-1, width)
         hashes = [np.frombuffer(h, "<u8") for h in part.column("hashes").to_pylist()]
-        same = key[2].as_py() == key[3].as_py()
-        a, b = (np.arange(len(ids)),) * 2 if same else (np.nonzero(block == key[2].as_py())[0], np.nonzero(block == key[3].as_py())[0])
+        side = part.column("side").to_numpy()
+        same = not side.any()
+        a, b = (np.arange(len(ids)),) * 2 if same else (np.nonzero(side == 0)[0], np.nonzero(side)[0])
 
         def alike(i: int, j: int) -> bool:
             p, q = hashes[i], hashes[j]
@@ -197,9 +206,13 @@ def similar(sets: DataFrame, similarity: float, radius: int, first: int, width:
             common = len(np.intersect1d(p, q, assume_unique=True))
             return common / max(1, len(p) + len(q) - common) >= similarity
 
-        labels = np.arange(len(ids))
+        _, start, known = np.unique(label, return_index=True, return_inverse=True)
+        labels = start[known]  # connected already: one group
+        begun = labels.copy()
         for i, j in near_pairs(prints[a], prints[b], radius, first, same):
             i, j = a[i], b[j]
+            apart = labels[i] != labels[j]
+            i, j = i[apart], j[apart]
             nearest = np.argsort(np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1), kind="stable")
             i, j = i[nearest], j[nearest]
             while len(i):  # what is connected already is not compared again
@@ -209,38 +222,70 @@ def similar(sets: DataFrame, similarity: float, radius: int, first: int, width:
                 i, j = i[step:], j[step:]
                 apart = labels[i] != labels[j]
                 i, j = i[apart], j[apart]
-        tied = np.nonzero(labels != np.arange(len(labels)))[0]
+        tied = np.nonzero(labels != begun)[0]
         return pa.table({"a": pa.array(ids[tied]), "b": pa.array(ids[labels[tied]])})
 
-    keys = ["big", "tile", "x", "y"]
-    return dealt.select(*keys, "block", "doc_id", "fp", "hashes").groupBy(*keys).applyInArrow(compare, "a long, b long")
+    def edges(rows: DataFrame, name: str) -> DataFrame:
+        return materialize(rows.select(*columns).groupBy("big", "tile", "x", "y").applyInArrow(compare, "a long, b long"), name)
+
+    own = {"tile": F.when(F.col("big"), F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(shared))), "x": F.col("block"), "y": F.lit(0), "side": F.lit(0), "label": F.col("node")}
+    large = dealt.where("big")
+    nth = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("node"), "node"))
+    pivot = large.withColumn("nth", nth).where(F.col("nth") <= pivots).withColumn("home", F.col("block"))
+    pivot = pivot.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block <> home")
+    found = edges(dealt.withColumns(own).unionByName(pivot.withColumns(own).select(*dealt.columns, *own)), "near-links")
+    if not sizes.where("blocks > 1").head(1):
+        return found
+    group = connected_components(found)
+    held = materialize(large.select("component", "node").join(group.withColumnRenamed("component", "label"), "node", "left").select("component", "node", F.coalesce("label", "node").alias("label")), "near-groups")
+    main = held.groupBy("component", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("component").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("all"))
+    main = main.select("component", F.col("main.label").alias("main"), (F.col("all") - F.col("main.n")).alias("strays")).where("strays > 0")
+    main = materialize(main.withColumn("stray_blocks", F.ceil(F.col("strays") / block_rows).cast("int")), "near-strays")
+    open_ = large.join(main, "component").join(held.select("node", "label"), "node")
+    every = lambda column: F.explode(F.sequence(F.lit(0), F.col(column) - 1))
+    place = F.pmod(F.xxhash64("node"), "stray_blocks").cast("int")
+    left = open_.withColumns({"tile": F.col("component"), "x": F.col("block"), "y": every("stray_blocks"), "side": F.lit(0)})
+    right = open_.where("label <> main").withColumns({"tile": F.col("component"), "x": every("blocks"), "y": place, "side": F.lit(1)})
+    return found.unionByName(edges(left.select(*columns).unionByName(right.select(*columns)), "near-crossings"))
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, width: int = 4) -> DataFrame:
-    """docs with one row left of each component, the one with its smallest doc_id; rows without doc_id stay.
+    """docs with one row left of each component, the one with its smallest doc_id (ties: by the text's digest), all
+    columns as they came, whatever their names.
 
     Texts link when the Jaccard similarity of their sets of shingles is `similarity` or more, computed exactly. The
     pairs to compute it for come from SimHash: sets of similarity J lie at an angle of arccos(2 J / (1 + J)), of which
     the fingerprints show the share of half a turn as differing bits; the filter leaves 4.5 deviations in the first word
-    and at least four in all words, counted from 3/16, the most that small sets of similarity 0.8 (4 of 5) differ by.
-    Only texts with such a neighbour are read again.
+    and four or more in all words, counted from 3/16, the most that small sets of similarity 0.8 (4 of 5) differ by.
+    Tiles hold sets of about one population count, their number of shingles, of which neither can be under `similarity`
+    of the other; others are skipped. Only texts with a neighbour are read again.
+
+    Null, empty and wordless texts have the same, empty set: one row of them stays. Rows are compared each by itself,
+    also those that share a doc_id; a null doc_id ranks last. Of rows alike in doc_id and text one stays, chosen by a
+    hash of all columns. An empty table gives an empty one.
     """
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    small, bits = max(share, 3 / 16), 64 * width
+    small, bits, bands = max(share, 3 / 16), 64 * width, 4
     radius, first = int(np.ceil(bits * small + 4 * np.sqrt(bits * small * (1 - small)))), int(np.ceil(64 * share + 4.5 * np.sqrt(64 * share * (1 - share))))
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prints = shingle_sets(plain.where("doc_id is not null"), shingle_words=shingle_words, width=width, whole=False)
-    nodes = materialize(prints.groupBy("key").agg(F.min("fp").alias("fp"), F.min("ones").alias("ones"), F.min("doc_id").alias("rep")), "shingle-sets")
-    near = connected_components(linked(nodes.select("fp", "ones", "rep"), radius, 8192, width, first))
+    text, doc_id = F.col(text_col).cast("string"), F.col(id_col).cast("long")
+    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
+    plain = docs.select(doc_id.alias("doc_id"), text.alias("text"), digest.alias("digest"))
+    prints = shingle_sets(plain, shingle_words=shingle_words, width=width, whole=False)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest")).alias("best")
+    band = F.when(F.col("size") > 0, 1 + F.floor(F.log("size") * (bands / np.log(1 / similarity)))).otherwise(0).cast("int")
+    nodes = prints.groupBy("key").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), best)
+    nodes = materialize(nodes.select("fp", band.alias("cell"), "best", F.monotonically_increasing_id().alias("node")), "shingle-sets")
+    near = connected_components(linked(nodes.select("fp", "cell", F.col("node").alias("rep")), radius, 4096, width, first, reach=bands))
     near = near.unionByName(near.select(F.col("component").alias("node"), "component")).distinct()  # the smallest has no row
-    texts = plain.join(near, F.col("doc_id") == F.col("node")).select("component", "doc_id", "text")
-    sets = shingle_sets(texts, shingle_words=shingle_words, width=width, whole=True)
-    sets = materialize(sets.groupBy("component", "doc_id", "key").agg(*[F.any_value(c).alias(c) for c in ("fp", "size", "hashes")]), "near-sets")
-    found = connected_components(materialize(similar(sets, similarity, radius, first, width), "near-links"))
-    named = nodes.join(found, nodes["rep"] == found["node"], "left")
-    stay = named.select(F.coalesce("component", "rep").alias("__stay")).distinct()
-    plan = docs.withColumn("__id", F.col(id_col).cast("long"))
-    kept = plan.where("__id is not null").join(stay, F.col("__id") == F.col("__stay"), "left_semi")
-    once = Window.partitionBy("__id").orderBy(F.xxhash64(F.col(text_col)))
-    kept = kept.withColumn("__nth", F.row_number().over(once)).where("__nth = 1").drop("__nth")
-    return kept.unionByName(plan.where("__id is null")).select(*docs.columns)
+    wanted = nodes.join(near, "node").select("component", "node", F.col("best.doc_id").alias("wanted_id"), F.col("best.digest").alias("wanted"))
+    texts = plain.join(wanted, (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    sets = shingle_sets(texts.select("component", "node", "doc_id", "text"), shingle_words=shingle_words, width=width, whole=True)
+    sets = materialize(sets.groupBy("component", "node").agg(*[F.any_value(c).alias(c) for c in ("fp", "size", "hashes")]), "near-sets")
+    found = connected_components(similar(sets, similarity, radius, first, width))
+    named = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("best"))
+    stay = materialize(named.select(F.col("best.doc_id").alias("stay_id"), F.col("best.digest").alias("stay")), "near-stay")
+    rows = set_aside(docs, id=doc_id, digest=digest, order=row_hash(docs))
+    kept = rows.join(stay, (F.col("digest") == F.col("stay")) & F.col("id").eqNullSafe(F.col("stay_id")), "left_semi")
+    once = F.row_number().over(Window.partitionBy("id", "digest").orderBy("order"))
+    kept = kept.withColumn("nth", once).where("nth = 1")
+    return kept.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])

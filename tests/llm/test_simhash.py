@@ -5,7 +5,7 @@ import numpy as np
 import xxhash
 
 from clipwright.llm.components import connected_components
-from clipwright.llm.simhash import drop_near_copies, fingerprint, linked, near_duplicates
+from clipwright.llm.simhash import drop_near_copies, fingerprint, linked, near_duplicates, similar, vote
 
 
 def plain(text):
@@ -63,7 +63,7 @@ def test_tiles_lose_no_link(spark):
     rng = np.random.default_rng(3)
     seeds = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     prints = np.unique(np.concatenate([seeds, seeds ^ np.uint64(7), seeds ^ np.uint64(1 << 40), rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
-    nodes = spark.createDataFrame([(int(p).to_bytes(8, "big"), int(np.bitwise_count(p)), i) for i, p in enumerate(prints)], "fp binary, ones int, rep long")
+    nodes = spark.createDataFrame([(int(p).to_bytes(8, "big"), int(np.bitwise_count(p)), i) for i, p in enumerate(prints)], "fp binary, cell int, rep long")
     got = {tuple(r) for r in connected_components(linked(nodes, 3, 16)).collect()}
     near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
     reach = near
@@ -124,6 +124,72 @@ def test_stage_links_at_exact_similarity(spark):
     assert band > 20 and sorted(r.doc_id for r in left) == sorted(want)
 
 
+def altered(base, similarity, rnd):
+    """A copy with single words changed, far apart, to a 5-word Jaccard similarity just above the given one."""
+    n, step = len(base) - 4, 5
+    copy = list(base)
+    for k in range(0, len(base) - 10, 10):
+        copy[k + step] = f"changed{rnd.random()}"
+        gone = 5 * (k // 10 + 1)
+        if (n - gone - 5) / (n + gone + 5) < similarity:
+            break
+    return copy
+
+
+def test_recall_by_band(spark):
+    """Of pairs in each band of exact similarity, the share of which only one document stays; below 0.8 both stay."""
+    rnd = random.Random(21)
+    rows, pairs = [], []
+    for i in range(700):
+        base = [f"w{rnd.randrange(10**9)}" for _ in range(rnd.choice([110, 250, 900]))]
+        copy = altered(base, rnd.uniform(0.7, 0.97), rnd)
+        a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (base, copy))
+        pairs.append((len(a & b) / len(a | b), 2 * i, 2 * i + 1))
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    left = {r.doc_id for r in drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 1.01)):
+        some = [(a, b) for s, a, b in pairs if low <= s < high]
+        assert len(some) > 40 and sum(a in left and b not in left for a, b in some) >= 0.99 * len(some)
+    assert all(a in left and b in left for s, a, b in pairs if s < 0.8)
+
+
+def test_rows_that_share_a_doc_id_are_compared_each_by_itself(spark):
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(40))
+    rows = [(1, text("a"), "x"), (1, text("b"), "y"), (1, text("b"), "y"), (None, text("c"), "z"), (None, text("d"), "z"), (None, text("b") + " more", "z"), (2, text("a") + " more", "z"), (3, None, "n"), (4, "", "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, id string").withColumnsRenamed({"id": "digest"})
+    out = drop_near_copies(df.selectExpr("doc_id", "text", "digest", "digest as node", "map('k', digest) as order"))
+    assert out.columns == ["doc_id", "text", "digest", "node", "order"]
+    assert sorted(((r.doc_id, (r.text or "")[:2], r.node) for r in out.collect()), key=repr) == sorted([(1, "aw", "x"), (1, "bw", "y"), (None, "cw", "z"), (None, "dw", "z"), (3, "", "n")], key=repr)
+
+
+def test_blocks_of_a_large_component(spark):
+    """A group far larger than a block: copies of one text, a chain that leaves it link by link, and strangers near it."""
+    rng, rnd = np.random.default_rng(6), random.Random(6)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = []
+    for k in range(120):
+        sets.append(np.concatenate((base[:190], rng.integers(0, 1 << 63, 10, dtype=np.uint64))))
+    for k in range(40):
+        sets.append(np.concatenate((base[: 180 - k], rng.integers(0, 1 << 63, 20 + k, dtype=np.uint64))))
+    chain = base
+    for k in range(30):
+        chain = np.concatenate((chain[10:], rng.integers(0, 1 << 63, 10, dtype=np.uint64)))
+        sets.append(chain)
+    sets = [np.unique(s) for s in sets]
+    rnd.shuffle(sets)
+    rows = [(7, i, vote([s], 4).astype(">u8").tobytes(), len(s), s.astype("<u8").tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "component long, node long, fp binary, size long, hashes binary").repartition(3)
+    found = dict(map(tuple, connected_components(similar(df, 0.8, 256, 64, 4, block_rows=16, pivots=2)).collect()))
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if common / (len(sets[i]) + len(sets[j]) - common) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert 10 < len(set(label)) < 60 and [found.get(i, i) for i in range(len(sets))] == [label.index(x) for x in label]
+
+
 def test_components_of_long_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5, 5)]
     random.Random(1).shuffle(edges)
