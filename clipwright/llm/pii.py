@@ -7,12 +7,13 @@ trusted pattern. Identifiers in trusted contexts that no base pattern knows are
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.shared import materialize
+from clipwright.llm.shared import materialize, skew_safe_lookup
 
 #: The kinds, in order of rank, with what a match looks like. Possessive forms of the plain patterns: none of them can
 #: gain by giving characters back, and so none backtracks or recurses on long runs. Cards begin with the 14 digits the
@@ -33,6 +34,10 @@ OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))"
 BLOCK = 256
 #: Characters of a strip; texts are cut into strips so that what stands around a span is found without a walk from the start.
 STRIP = 512
+#: Characters on either side of a span within which the words of its context lie whole; else it has none.
+REACH = 128
+#: Longer runs of shaped words are no identifier, but their words may be.
+LONGEST = 64
 
 
 def digits(text: Column) -> Column:
@@ -58,6 +63,16 @@ def holds(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with value computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def in_blocks(items: Column) -> Column:
+    """A non-empty array's elements in arrays of BLOCK."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
 def located(text: Column, pattern: str, hint: str) -> Column:
     """array<struct<start, end, match>> of the leftmost, non-overlapping matches; code points, end exclusive.
 
@@ -77,28 +92,50 @@ def located(text: Column, pattern: str, hint: str) -> Column:
         return F.aggregate(block, start, step, lambda a: a["out"])
 
     def whole(pairs: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")), lambda b: F.slice(pairs, b * BLOCK + 1, F.lit(BLOCK)))
+        blocks = in_blocks(pairs)
         long = lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + p["gap"] + F.length(p["match"]))
         bases = F.aggregate(blocks, F.array(F.lit(0)), lambda a, b: F.concat(a, F.array(F.element_at(a, -1) + long(b))))
         return F.flatten(F.zip_with(blocks, F.slice(bases, F.lit(1), F.size(blocks)), lay))
 
     none = F.array().cast(kind)
-    some = F.transform(F.array(pairs), lambda p: F.when(F.size(p) > 0, whole(p)).otherwise(none))[0]  # names the matches, so they are found once
+    some = let(pairs, lambda p: F.when(F.size(p) > 0, whole(p)).otherwise(none))  # the matches are found once
     return F.when(text.rlike(hint), some).otherwise(none)
 
 
 def context(strips: Column, start: Column, end: Column) -> tuple[Column, Column]:
-    """The two words before a span and the one after it, folded in case, their digits made 0; at most a strip away."""
+    """The two words before a span (^ stands for one before the text) and the one after it, folded in case, their digits
+    made 0; empty if they don't lie whole within REACH."""
     fold = lambda c: F.regexp_replace(F.lower(c), r"[0-9]", "0")
     strip = lambda k: F.coalesce(F.get(strips, k), F.lit(""))
     at = lambda p: F.floor(p / STRIP).cast("int")
-    before = F.concat(strip(at(start) - 1), F.substring(strip(at(start)), F.lit(1), start % STRIP))
-    after = F.concat(F.substring(strip(at(end)), end % STRIP + 1, F.lit(STRIP)), strip(at(end) + 1))
-    left = F.regexp_extract(F.right(before, F.lit(80)), r"([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$", 1)
-    right = F.regexp_extract(F.left(after, F.lit(60)), r"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)", 1)
+    before = F.concat(F.when(at(start) < 1, F.lit(" ^ ")).otherwise(strip(at(start) - 1)), F.substring(strip(at(start)), F.lit(1), start % STRIP))
+    after = F.concat(F.substring(strip(at(end)), end % STRIP + 1, F.lit(STRIP)), strip(at(end) + 1), F.when(at(end) + 2 >= F.size(strips), F.lit(" ")).otherwise(F.lit("")))
+    left = F.regexp_extract(F.right(before, F.lit(REACH)), r"[\x20\x09-\x0D]([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$", 1)
+    right = F.regexp_extract(F.left(after, F.lit(REACH)), r"^[^\x20\x09-\x0D]*+[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)[\x20\x09-\x0D]", 1)
     return fold(F.regexp_replace(left, r"[\x20\x09-\x0D]++", " ")), fold(right)
 
 
+def apart(shaped: Column, seeds: Column) -> Column:
+    """The shaped runs that touch no seed; of runs that do, and of long ones, the words that touch none.
+
+    Both arrays are in order; each block of runs looks only at the blocks of seeds that reach into it.
+    """
+
+    def free(block: Column, near: Column) -> Column:
+        clash = lambda s: F.exists(near, lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
+        moved = lambda s: F.transform(located(s["match"], r"[^\x20]++", "."), lambda w: F.struct((s["start"] + w["start"]).alias("start"), (s["start"] + w["end"]).alias("end"), w["match"].alias("match")))
+        pieces = lambda s: F.filter(moved(s), lambda w: w["match"].rlike("[0-9@]") & ~clash(w))
+        return F.flatten(F.transform(block, lambda s: F.when(clash(s) | (F.length(s["match"]) > LONGEST), pieces(s)).otherwise(F.array(s))))
+
+    def whole(bounded: Column) -> Column:
+        reach = lambda block: F.flatten(F.transform(F.filter(bounded, lambda q: (q["high"] > block[0]["start"]) & (q["low"] < F.element_at(block, -1)["end"])), lambda q: q["part"]))
+        return F.flatten(F.transform(in_blocks(shaped), lambda block: let(reach(block), lambda near: free(block, near))))
+
+    ends = lambda part: F.struct(part[0]["start"].alias("low"), F.array_max(F.transform(part, lambda b: b["end"])).alias("high"), part.alias("part"))
+    bounded = F.when(F.size(seeds) > 0, F.transform(in_blocks(seeds), ends)).otherwise(F.array())
+    return F.when(F.size(shaped) > 0, let(bounded, whole)).otherwise(shaped)
+
+
 def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """uid, doc_id and two arrays of spans with their contexts: base (checked matches) and rest (other shaped words)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -110,7 +147,6 @@ def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     found = [checked(n, k) for n, k in enumerate(KINDS)]
     rows = rows.select("*", F.array_sort(F.flatten(F.array(*found))).alias("seeds"), located(F.col("text"), SHAPED, r"[0-9@]").alias("shaped"))
-    apart = F.filter("shaped", lambda s: ~F.exists("seeds", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
 
     def dressed(spans: Column, kind) -> Column:
         def dress(s: Column) -> Column:
@@ -120,24 +156,35 @@ def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.transform(spans, dress)
 
     rows = rows.withColumn("strips", F.when(F.size("seeds") + F.size("shaped") > 0, F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{STRIP}}}"), F.lit(0))))
-    return rows.select("uid", "doc_id", dressed(F.col("seeds"), lambda s: s["kind"]).alias("base"), dressed(apart, lambda s: F.lit(None).cast("int")).alias("rest"))
+    return rows.select("uid", "doc_id", dressed(F.col("seeds"), lambda s: s["kind"]).alias("base"), dressed(apart(F.col("shaped"), F.col("seeds")), lambda s: F.lit(None).cast("int")).alias("rest"))
+
 
+def learned(found: DataFrame, *, rounds: int, trust: float, support: float, doubt: float) -> DataFrame:
+    """(pattern, rows, trust: for each kind, null if it isn't trusted for it) of the trusted patterns after `rounds` turns
+    over the pattern-instance graph; rows is the number of spans a pattern stands around.
 
-def learned(found: DataFrame, *, rounds: int, trust: float, support: float) -> DataFrame:
-    """(pattern, kind, trust) of the trusted patterns after `rounds` turns over the pattern-instance graph."""
+    Every join is to a table of unique keys that knows how many rows each meets, so that no frequent pattern or
+    identifier fills a task.
+    """
+    each, score, none = range(len(KINDS)), lambda k: F.col(f"s{k}"), F.lit(None).cast("double")
     units = found.select(F.explode(F.concat("base", "rest")).alias("s")).select("s.kind", "s.what", *patterns("s"))
-    edges = materialize(units.select("kind", "what", F.explode("patterns").alias("pattern")).where("pattern is not null").groupBy("pattern", "what").agg(F.max("kind").alias("kind")), "pii-edges")
-    sizes = materialize(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= support), "pii-sizes")
-    kept = edges.join(sizes, "pattern").select("pattern", "what")
-    seeds = edges.where("kind is not null").groupBy("what", "kind").agg(F.lit(1.0).alias("score"))
+    met = units.select("kind", "what", F.explode("patterns").alias("pattern")).where("pattern is not null")
+    seen = [F.max(F.when(F.col("kind") == k, 1.0)).alias(f"s{k}") for k in each]
+    edges = materialize(met.groupBy("pattern", "what").agg(*seen, F.count(F.lit(1)).alias("rows")), "pii-edges")
+    sizes = materialize(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).where(F.col("n") >= support), "pii-sizes")
+    kept = materialize(skew_safe_lookup(edges.drop("rows"), sizes, "pattern", "n"), "pii-kept")
+    seeds = materialize(edges.groupBy("what").agg(*[F.max(f"s{k}").alias(f"s{k}") for k in each]).where(F.coalesce(*map(score, each)).isNotNull()), "pii-seeds")
+    degrees = materialize(kept.groupBy("what").agg(F.count(F.lit(1)).alias("degree")), "pii-degrees")
     scores = seeds
     for _ in range(rounds):
-        known = kept.join(scores, "what").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-        rated = known.join(sizes, "pattern").withColumn("trust", F.col("mass") / (F.col("n") + 1))
-        trusted = materialize(rated.where((F.col("trust") >= trust) & (F.col("mass") >= support)).select("pattern", "kind", "trust"), "pii-trusted")
-        reached = kept.join(trusted, "pattern").join(seeds.select("what"), "what", "left_anti").groupBy("what", "kind").agg(F.max("trust").alias("score"))
-        scores = seeds.unionByName(reached)
-    return trusted
+        known = skew_safe_lookup(kept.select("pattern", "what"), scores.join(degrees, "what"), "what", "degree")
+        known = known.groupBy("pattern").agg(F.count(F.lit(1)).alias("known"), *[F.sum(score(k)).alias(f"s{k}") for k in each])
+        against = F.col("known") + doubt * (F.col("n") - F.col("known")) + 1
+        rated = known.join(sizes, "pattern").select("pattern", "n", "rows", *[F.when((score(k) / against >= trust) & (score(k) >= support), score(k) / against).alias(f"s{k}") for k in each])
+        trusted = materialize(rated.where(F.coalesce(*map(score, each)).isNotNull()), "pii-trusted")
+        reached = skew_safe_lookup(kept.select("pattern", "what"), trusted, "pattern", "n").groupBy("what").agg(*[F.max(score(k)).alias(f"s{k}") for k in each])
+        scores = seeds.unionByName(reached.join(seeds.select("what"), "what", "left_anti"))
+    return trusted.select("pattern", "rows", *[F.coalesce(score(k), none).alias(f"s{k}") for k in each])
 
 
 def patterns(span: str) -> list[Column]:
@@ -152,19 +199,22 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, trust: float = 0.8, support: float = 4.0) -> DataFrame:
+def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, trust: float = 0.8, support: float = 4.0, doubt: float = 0.5) -> DataFrame:
     """One row per input row: doc_id, base and spans (arrays of start, kind, end by start, then kind's rank in KINDS).
 
     base: the matches of the kinds' patterns that pass their checks. spans: these and the spans learned: words with a
-    digit or an at sign, apart from base spans, in a context of which at least `trust` of all different identifiers
-    (one more counted against it), and at least `support`, are known to be of the kind. Null is the empty text and has
-    no spans; rows that repeat a doc_id are rows of their own; an empty table gives an empty result.
+    digit or an at sign, and runs of them, apart from base spans, in a context that is trusted for the kind: of the
+    different identifiers it encloses, at least `support` are known to be of the kind, and these make up at least
+    `trust` of all, where one not known at all counts as `doubt` of one, and one more counts against. Of several trusted
+    contexts or kinds the most trusted decides (ties: the first kind). A context is the two words before a span, or the
+    one before and the one after it. Null is the empty text and has no spans; rows that repeat a doc_id are rows of
+    their own; an empty table gives an empty result; other columns are not looked at.
     """
     found = materialize(entities(docs, id_col, text_col), "pii-entities")
-    trusted = learned(found, rounds=rounds, trust=trust, support=support)
+    trusted = learned(found, rounds=rounds, trust=trust, support=support, doubt=doubt)
     rest = found.select("uid", F.explode("rest").alias("s")).select("uid", "s.start", "s.end", *patterns("s"))
-    met = rest.select("uid", "start", "end", F.explode("patterns").alias("pattern")).join(trusted, "pattern")
-    best = met.groupBy("uid", "start", "end").agg(F.max(F.struct("trust", (-F.col("kind")).alias("rank"))).alias("best"))
+    met = skew_safe_lookup(rest.select("uid", "start", "end", F.explode("patterns").alias("pattern")).where("pattern is not null"), trusted, "pattern", "rows")
+    best = met.groupBy("uid", "start", "end").agg(F.greatest(*[F.max(F.struct(F.coalesce(F.col(f"s{k}"), F.lit(-1.0)).alias("trust"), F.lit(-k).alias("rank"))) for k in range(len(KINDS))]).alias("best"))
     added = best.groupBy("uid").agg(F.collect_list(F.struct("start", (-F.col("best.rank")).alias("kind"), "end")).alias("added"))
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     whole = found.select("uid", "doc_id", plain.alias("base")).join(added, "uid", "left")

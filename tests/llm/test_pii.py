@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from hashlib import sha256
 
 from clipwright.llm.pii import report
@@ -57,5 +58,104 @@ def test_trusted_contexts_add_identifiers(spark):
     assert got[34].spans == f"email:{start}:{start + len('agent-9000x')}"
 
 
+KINDS = list(PLAIN)
+
+
+def candidates(text, seeds):
+    """Shaped runs apart from the seeds, plainly: words with a digit or an at sign, joined over single spaces."""
+    runs = []
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+        if re.search("[0-9@]", m[0]):
+            if runs and runs[-1][1] + 1 == m.start() and text[m.start() - 1] == " ":
+                runs[-1][1] = m.end()
+            else:
+                runs.append([m.start(), m.end()])
+    clash = lambda a, b: any(s < b and e > a for s, _, e in seeds)
+    for a, b in runs:
+        if not clash(a, b) and b - a <= 64:
+            yield a, b
+        else:
+            for m in re.finditer(r"[^\x20]+", text[a:b]):
+                if re.search("[0-9@]", m[0]) and not clash(a + m.start(), a + m.end()):
+                    yield a + m.start(), a + m.end()
+
+
+def contexts(text, start, end):
+    fold = lambda t: re.sub("[0-9]", "0", t.lower())
+    left = re.search(r"[\x20\x09-\x0D]([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", (" ^ " + text[:start])[-128:])
+    right = re.search(r"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]", (text[end:] + " ")[:128])
+    left = " ".join(fold(left[1]).split()) if left else ""
+    return [x for x in (left and "after " + left, left and right and f"around {left.split()[-1]} _ {fold(right[1])}") if x]
+
+
+def bootstrapped(texts, rounds=3, trust=0.8, support=4, doubt=0.5):
+    """All spans of each text, by walking the pattern-instance graph."""
+    spans, rest, graph, kind_of = [], [], {}, {}
+    for text in texts:
+        seeds = [(int(s.split(":")[1]), KINDS.index(s.split(":")[0]), int(s.split(":")[2])) for s in base(text)]
+        spans.append({(a, k, b) for a, k, b in seeds})
+        rest.append(list(candidates(text, seeds)))
+        for a, b, k in [(a, b, k) for a, k, b in seeds] + [(a, b, None) for a, b in rest[-1]]:
+            for pattern in contexts(text, a, b):
+                graph.setdefault(pattern, set()).add(text[a:b].lower())
+                if k is not None:
+                    kind_of.setdefault(text[a:b].lower(), {})[k] = 1.0
+    seeds, scores = kind_of, dict(kind_of)
+    for _ in range(rounds):
+        trusted = {}
+        for pattern, whats in graph.items():
+            if len(whats) >= support:
+                known = [w for w in whats if w in scores]
+                for k in range(4):
+                    mass = sum(scores[w].get(k, 0) for w in known)
+                    score = mass / (len(known) + doubt * (len(whats) - len(known)) + 1)
+                    if score >= trust and mass >= support:
+                        trusted.setdefault(pattern, {})[k] = score
+        scores = dict(seeds)
+        for pattern, kinds in trusted.items():
+            for w in graph[pattern]:
+                if w not in seeds:
+                    mine = scores.setdefault(w, {})
+                    for k, x in kinds.items():
+                        mine[k] = max(mine.get(k, 0), x)
+    for text, found, own in zip(texts, spans, rest):
+        for a, b in own:
+            best = max(((x, -k) for p in contexts(text, a, b) for k, x in trusted.get(p, {}).items()), default=None)
+            if best:
+                found.add((a, -best[1], b))
+    return [",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(s)) for s in spans]
+
+
+def test_learned_spans_match_a_plain_walk(spark):
+    rnd = random.Random(9)
+    identifier = [lambda: f"u{rnd.randrange(60)}@mail.example.com", lambda: f"10.0.{rnd.randrange(9)}.{rnd.randrange(200)}", lambda: f"+1 ({rnd.randrange(200, 900)}) 555-{rnd.randrange(1000, 9999)}", lambda: f"id{rnd.randrange(40)}", lambda: f"0{rnd.randrange(40)} 7946 0958", lambda: "7" * 70]
+    leads = ["write to", "host is", "call me", "see page", "now\tor \n", "x" * 130 + " on"]
+    texts = []
+    for i in range(260):
+        parts = []
+        for _ in range(rnd.randint(0, 4)):
+            lead = rnd.randrange(len(leads))
+            pick = identifier[lead] if lead < 3 and rnd.random() < 0.85 else rnd.choice(identifier)
+            parts.append(f"{leads[lead]} {pick()} {rnd.choice(['today', 'or', 'u7@mail.example.com', '44'])}")
+            if rnd.random() < 0.3:
+                parts.append(" ".join(rnd.choices(["plain", "words", "go"], k=rnd.choice([1, 70, 130]))))
+        texts.append((" " * (rnd.random() < 0.2)) + " ".join(parts))
+    want = bootstrapped(texts)
+    got = check(spark, texts)
+    assert [got[i].spans for i in range(len(texts))] == want
+    assert sum(len(w.split(",")) > len(base(t)) for w, t in zip(want, texts) if w) > 20
+
+
+def test_hot_context_and_a_text_of_many_spans(spark):
+    """A third of the rows share a context, a third an identifier; one text holds 50,000 seeds and as many other words."""
+    texts = [f"mail {i}: write to user{i}@mail.example.com now" for i in range(1000)] + ["the code is 4711 here"] * 1000 + [f"write to agent-{i}x now" for i in range(20)]
+    texts.append(" ".join(f"a{i}@b.co and {i} or" for i in range(50_000)))
+    began = time.time()
+    got = check(spark, texts)
+    assert time.time() - began < 300
+    assert got[1].spans and all(got[i].spans == "" for i in range(1000, 2000)) and all(got[i].spans.startswith("email:9:") for i in range(2000, 2020))
+    assert got[2020].n_email == 50_000
+
+
 def test_empty(spark):
     assert report(spark.createDataFrame([], SCHEMA)).collect() == []
