@@ -1,4 +1,8 @@
-"""The corpus pipeline: stages over the documents table, each on all its predecessor kept."""
+"""The corpus pipeline: stages over the documents table, each on all its predecessor kept.
+
+All stages take nulls in any column, repeated rows and doc_ids, columns of any name beside those of documents, and an
+empty table, of which an empty one comes; what they do with each is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +17,32 @@ from clipwright.llm.simhash import drop_near_copies
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; texts without letters or foreign to every learned language go."""
+    """Documents in a learned language; null texts, texts without letters and those foreign to every learned language go,
+    as do all if no document has both a language and a text to learn from. Rows alike are judged alike."""
     return keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, the one with the largest doc_id; null counts as the empty text, a null
+    doc_id ranks last, and of rows alike in both one stays, chosen by a hash of all columns."""
     return drop_exact_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by SimHash: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies, the one with the smallest doc_id (nulls last): five-word shingles,
+    a Jaccard similarity of 0.8 or more, sought by SimHash. Texts without words are alike; rows are compared each by
+    itself, also where they share a doc_id."""
     return drop_near_copies(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the target weights take of each document, a row per pass over it."""
+    """What the target weights take of each document, a row per pass over it; null and wordless texts, of which nothing
+    can be taken, go. A null source is a source of its own; rows that repeat a doc_id are documents of their own."""
     return mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces in sequences of at most 1024 tokens."""
+    """The documents' pieces in sequences of at most 1024 tokens; a null text is empty, and rows are packed one by one."""
     return pack(docs)
 
 
