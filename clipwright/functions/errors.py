@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-class Retryable(Exception):
-    """Base of failures that may pass."""
+class RetryableError(Exception):
+    """Base of failures that may pass, and of whatever subclasses users give it."""
 
 
-class TransientIOError(Retryable):
+class TransientIOError(RetryableError):
     pass
 
 
-class OOMError(Retryable):
+class OOMError(RetryableError):
     pass
 
 
@@ -30,20 +30,31 @@ class ModelMissingError(Exception):
     pass
 
 
-#: Class names by verdict.
+#: The names of the classes by verdict, and the reasons read from messages.
 PASSING = ("RetryableError", "TransientIOError", "OOMError")
 LASTING = ("DecodeError", "InvalidDataError", "ModelMissingError")
+OOM, CUDA, UNKNOWN = "oom", "cuda_error", "unknown"
 
 
-def reason(kind: Column, message: Column) -> Column:
-    """The class decides if it is a known one; otherwise the message does."""
+def ancestry(error: BaseException) -> list[str]:
+    """The names of an error's class and of its bases, nearest first: what workers report, as a class by itself says
+    nothing of what it derives from."""
+    return [c.__name__ for c in type(error).__mro__ if c not in (Exception, BaseException, object)]
+
+
+def _among(kinds: Column, names: tuple[str, ...]) -> Column:
+    return F.coalesce(F.arrays_overlap(kinds, F.array(*map(F.lit, names))), F.lit(False))
+
+
+def reason(kinds: Column, message: Column) -> Column:
+    """kinds: an error's ancestry. A class of known descent decides, by its own name; otherwise the message does."""
     said = F.lower(F.coalesce(message, F.lit("")))
-    known = F.when(kind.isin(*PASSING, *LASTING), kind)
-    return known.when(said.contains("out of memory"), F.lit("oom")).when(said.contains("cuda") & said.contains("error"), F.lit("cuda_error")).otherwise(F.lit("unknown"))
+    known = F.when(_among(kinds, PASSING) | _among(kinds, LASTING), F.get(kinds, F.lit(0)))
+    return known.when(said.contains("out of memory"), F.lit(OOM)).when(said.contains("cuda") & said.contains("error"), F.lit(CUDA)).otherwise(F.lit(UNKNOWN))
 
 
-def retryable(kind: Column, message: Column) -> Column:
-    return reason(kind, message).isin(*PASSING, "oom", "cuda_error")
+def retryable(kinds: Column, message: Column) -> Column:
+    return _among(kinds, PASSING) | reason(kinds, message).isin(OOM, CUDA)
 
 
 def next_delay(attempt: Column, base_s: float = 5.0, backoff: float = 3.0) -> Column:

@@ -37,23 +37,26 @@ def dead_letters(spark, sf_dir):
     return state.dead_letters(fixtures.state_events(spark, sf_dir))
 
 
-#: Crafted failures: class name and message.
-FAILURES = (("TransientIOError", "disk"), ("", "CUDA Out Of Memory"), ("RuntimeError", "CUDA launch Error"), ("DecodeError", "out of memory"), ("", "cuda"), ("OOMError", ""), ("ValueError", "no frames"), ("InvalidDataError", "x"))
+#: Crafted failures: ancestry, comma-joined, and message.
+FAILURES = (
+    ("TransientIOError,RetryableError", "disk"), ("", "CUDA Out Of Memory"), ("RuntimeError", "CUDA launch Error"), ("DecodeError", "out of memory"), ("", "cuda"), ("OOMError,RetryableError", ""),
+    ("ValueError", "no frames"), ("InvalidDataError", "x"), ("RetryableError", "socket reset"), ("MountLost,TransientIOError,RetryableError,OSError", "gone"), ("BadIndex,InvalidDataError,KeyError", "cuda error"), ("TransientIOError", "by its name alone"),
+)
 
 
 def _failures(spark, sf_dir):
     pick = lambda k: F.element_at(F.array(*[F.lit(f[k]) for f in FAILURES]), (F.col("seq") % len(FAILURES)).cast("int") + 1)
-    return fixtures.state_events(spark, sf_dir).select("seq", pick(0).alias("kind"), pick(1).alias("message"))
+    return fixtures.state_events(spark, sf_dir).select("seq", F.split(pick(0), ",").alias("kinds"), pick(1).alias("message"))
 
 
 def classify_errors(spark, sf_dir):
-    k, m = F.col("kind"), F.col("message")
+    k, m = F.col("kinds"), F.col("message")
     return _failures(spark, sf_dir).select("seq", errors.reason(k, m).alias("reason"), errors.retryable(k, m).alias("retryable"))
 
 
 def retry_schedule(spark, sf_dir):
     rows = _failures(spark, sf_dir).withColumn("attempt", (F.col("seq") % 6).cast("int"))
-    again = errors.retryable(F.col("kind"), F.col("message")) & (F.col("attempt") < 3)
+    again = errors.retryable(F.col("kinds"), F.col("message")) & (F.col("attempt") < 3)
     return rows.select("seq", "attempt", again.alias("again"), errors.next_delay(F.col("attempt") + 1).alias("delay_s"))
 
 
@@ -86,9 +89,10 @@ _LATEST = """latest AS (
   SELECT clip_key, arg_min(video_id, seq) AS video_id, arg_max(status, seq) AS status, arg_max(last_error, seq) AS last_error,
          arg_max(retry_count, seq) AS retry_count, arg_max(updated_at, seq) AS updated_at FROM state_events GROUP BY clip_key)"""
 _OPEN = "status IN ('Pending', 'Failed', 'Writing', 'Running')"
-_CASES = "failures AS (SELECT event_id AS seq, " + ", ".join("CASE event_id % 8 " + " ".join(f"WHEN {k} THEN '{f[n]}'" for k, f in enumerate(FAILURES)) + f" END AS {name}" for n, name in enumerate(("kind", "message"))) + " FROM events)"
-_REASON = "CASE WHEN kind IN ('RetryableError', 'TransientIOError', 'OOMError', 'DecodeError', 'InvalidDataError', 'ModelMissingError') THEN kind WHEN contains(lower(message), 'out of memory') THEN 'oom' WHEN contains(lower(message), 'cuda') AND contains(lower(message), 'error') THEN 'cuda_error' ELSE 'unknown' END"
-_AGAIN = f"({_REASON}) IN ('RetryableError', 'TransientIOError', 'OOMError', 'oom', 'cuda_error')"
+_CASES = "failures AS (SELECT event_id AS seq, " + ", ".join(f"CASE event_id % {len(FAILURES)} " + " ".join(f"WHEN {k} THEN '{f[n]}'" for k, f in enumerate(FAILURES)) + f" END AS {name}" for n, name in enumerate(("kinds", "message"))) + " FROM events)"
+_PASSING = f"list_has_any(string_split(kinds, ','), {list(errors.PASSING)})"
+_REASON = f"CASE WHEN list_has_any(string_split(kinds, ','), {list(errors.PASSING + errors.LASTING)}) THEN string_split(kinds, ',')[1] WHEN contains(lower(message), 'out of memory') THEN 'oom' WHEN contains(lower(message), 'cuda') AND contains(lower(message), 'error') THEN 'cuda_error' ELSE 'unknown' END"
+_AGAIN = f"({_PASSING} OR ({_REASON}) IN ('oom', 'cuda_error'))"
 
 SQL = {
     "state_latest": f"{with_('state_events')}, {_LATEST} SELECT * FROM latest",
