@@ -17,6 +17,19 @@ def last_by_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*rest), order).alias("__last")).select(key, "__last.*").select(*rows.columns)
 
 
+def in_order(rows: DataFrame) -> DataFrame:
+    """Adds __at, which orders rows as they stand: by the files they were read from, by name, and their place in them
+    (see sources.manifests), or else as the table gives them."""
+    at = "ordinal" if "ordinal" in rows.columns else F.struct(F.monotonically_increasing_id())
+    return rows.withColumn("__at", F.col(at) if isinstance(at, str) else at).drop("ordinal")
+
+
+def identified(clips: DataFrame) -> DataFrame:
+    """clips; one without clip_id or video_id is an error."""
+    bare = F.col("clip_id").isNull() | F.col("video_id").isNull()
+    return clips.withColumn("clip_id", F.when(bare, F.raise_error(F.lit("clip without clip_id or video_id")).cast(clips.schema["clip_id"].dataType)).otherwise(F.col("clip_id")))
+
+
 def with_videos(clips: DataFrame, videos: DataFrame) -> DataFrame:
     """clips with their video's path, fps and duration; a clip without a video, or a video without a path, is an error.
 
@@ -45,6 +58,16 @@ def expanded(clips: DataFrame, overlap_s: float) -> DataFrame:
     return on.withColumns({"start_s": F.col("start_aligned_s"), "end_s": F.col("end_aligned_s")})
 
 
+def within(clips: DataFrame, start_s: float, end_s: float) -> DataFrame:
+    """Of each clip the frames from start_s to end_s of its video, as from_frame and to_frame; clips without any go. All
+    frames if neither bound is above zero."""
+    if start_s <= 0 and end_s <= 0:
+        return clips.withColumns({"from_frame": F.col("frame_start"), "to_frame": F.col("frame_end")})
+    low, high = (frames_from_seconds(F.lit(max(0.0, s)), F.col("fps")) for s in (start_s, end_s))
+    met = clips.where((F.col("frame_start") <= high) & (F.col("frame_end") >= low))
+    return met.withColumns({"from_frame": F.greatest("frame_start", low), "to_frame": F.least("frame_end", high)})
+
+
 def tasks(clips: DataFrame) -> DataFrame:
     """The typed work item of a clip."""
     flag = lambda name, default: F.coalesce(F.col(name), F.lit(default)) if name in clips.columns else F.lit(default)

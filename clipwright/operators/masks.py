@@ -2,27 +2,54 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from clipwright.functions.masks import column_major, transposed
+from clipwright.functions.masks import transposed
 from clipwright.functions.time import frames_from_seconds, seconds_from_frames, stride_of
+from clipwright.operators.models import run_lengths
+
+
+#: Pixels in one number while planes are united.
+WORD = 62
 
 
 def union(planes: DataFrame, key: str, height: int, width: int, threshold: float = 0.0) -> DataFrame:
-    """The planes of a key united bit by bit: key, bits (row by row). Aggregated per pixel, so any number of planes."""
-    bits = planes.select(key, F.posexplode("plane").alias("at", "v")).groupBy(key, "at").agg(F.bool_or(F.col("v") > threshold).alias("on"))
-    return bits.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "on"))), lambda s: s["on"].cast("int")).alias("bits"))
+    """The planes of a key united bit by bit: key, bits (row by row). Planes travel as numbers of WORD pixels, united
+    before and after the shuffle, so any number of planes makes as many rows as one plane has words."""
+    words = -(-height * width // WORD)
+    number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, 1) + (v > threshold).cast("long"))
+    packed = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: number(F.slice("plane", w * WORD + 1, F.lit(WORD))))
+    united = planes.select(key, F.posexplode(packed).alias("word", "bits")).groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
+    whole = united.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
+    size = lambda w: F.least(F.lit(WORD), F.lit(height * width) - w["word"] * WORD)
+    spelled = F.concat_ws("", F.transform("words", lambda w: F.lpad(F.bin(w["bits"]), size(w), "0")))
+    return whole.select(key, F.transform(F.split(spelled, ""), lambda c: c.cast("int")).alias("bits"))
 
 
 def runs(planes: DataFrame, key: str, height: int, width: int, threshold: float = 0.0) -> DataFrame:
-    """Run lengths, column by column, as rows: key, run (from 0), bit, length; by gaps and islands, for large planes."""
-    bits = planes.select(key, F.posexplode("plane").alias("p", "v")).select(key, column_major(F.col("p"), height, width).alias("at"), (F.col("v") > threshold).cast("int").alias("bit"))
-    w = Window.partitionBy(key).orderBy("at")
-    cut = bits.withColumn("cut", (F.col("bit") != F.lag("bit", 1, 0).over(w)).cast("int"))
-    run = cut.withColumn("run", F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return run.groupBy(key, "run").agg(F.max("bit").alias("bit"), F.count(F.lit(1)).alias("length"))
+    """Run lengths, column by column, as rows: key, run (from 0, the first being of zeros and absent if there is none),
+    bit, length. Each plane is encoded where it is read; a null plane has no runs."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, run, bit, length = [], [], [], []
+            for name, plane in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if plane.is_valid:
+                    values = plane.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                    counts = [(k, n) for k, n in enumerate(run_lengths((values > threshold).reshape(height, width))) if n]
+                    keys += [name] * len(counts)
+                    run += [k for k, _ in counts]
+                    bit += [k % 2 for k, _ in counts]
+                    length += [n for _, n in counts]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(run, pa.int64()), pa.array(bit, pa.int32()), pa.array(length, pa.int64())], [key, "run", "bit", "length"])
+
+    rows = planes.select(key, "plane")
+    return rows.mapInArrow(encode, rows.select(key).schema.add("run", "long").add("bit", "integer").add("length", "long"))
 
 
 def bits_by_column(plane, height: int, width: int, threshold: float = 0.0):
@@ -46,6 +73,11 @@ def frames_between(clips: DataFrame, stride) -> DataFrame:
     return at.withColumns({"offset": F.col("frame") - F.col("frame_start"), "at_s": seconds_from_frames(F.col("frame"), F.col("fps"))})
 
 
+def found(masks: DataFrame, *by: str, mask: str = "mask_rle") -> DataFrame:
+    """How many frames there are and how many have a mask: those without one are left out of artifacts, though counted."""
+    return masks.groupBy(*by).agg(F.count(F.lit(1)).alias("frames"), F.count(mask).alias("with_mask"))
+
+
 def absolute(frames: DataFrame) -> DataFrame:
     """Adds frame_index and timestamp_s of frames counted from a clip's start."""
     rate = F.when(F.coalesce(F.col("fps"), F.lit(0.0)) == 0, F.lit(30.0)).otherwise(F.col("fps"))

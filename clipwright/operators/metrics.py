@@ -28,3 +28,20 @@ def histogram(rows: DataFrame, value: str, bounds: list[float], *by: str) -> Dat
     wide = rows.groupBy(*by).agg(*counts)
     cells = F.array(*[F.struct(F.lit(b).alias("bound"), F.col(f"__{k}").alias("n")) for k, b in enumerate(ends)])
     return wide.select(*by, F.inline(cells))
+
+
+def queue_lengths(now: DataFrame, stages: tuple[str, ...] = ("Pending", "Running", "Writing")) -> DataFrame:
+    """How many clips wait in each stage, 0 included: stage, queue_length. now: the latest state of each clip."""
+    counts = [F.count_if(F.col("status") == s).alias(s) for s in stages]
+    cells = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).alias("queue_length")) for s in stages])
+    return now.agg(*counts).select(F.inline(cells))
+
+
+def totals(log: DataFrame) -> DataFrame:
+    """The counters of a state log: clips_processed_total and clip_failures_total."""
+    return log.agg(F.count_if(F.col("status") == "Done").alias("clips_processed_total"), F.count_if(F.col("status") == "Failed").alias("clip_failures_total"))
+
+
+def gauge(samples: DataFrame, *by: str, value: str = "value", at: str = "at_s") -> DataFrame:
+    """The last value of each series: by, value."""
+    return samples.groupBy(*by).agg(F.max_by(value, at).alias(value))

@@ -1,9 +1,9 @@
-"""Model operators: adapters that run a predictor inside Spark's workers, and typed stand-ins for models not at hand."""
+"""Model operators: adapters that run a model inside Spark's workers, and typed stand-ins for models not at hand."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any, Protocol
 
 import numpy as np
@@ -12,21 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwright import schemas
+from clipwright.functions.errors import ancestry
 
-FRAMES = "array<struct<frame_index:bigint,timestamp_s:double,mask_rle:string>>"
-RESULT = f"clip_id string, ok boolean, kind string, message string, frames {FRAMES}"
+#: What a detector says of one prompt frame; boxes are four numbers each, in whatever form the model gives them.
+DETECTED = "frame int, height int, width int, boxes array<array<double>>, scores array<double>, phrases array<string>"
+#: A segmented frame, counted from the clip's start; null where nothing was found.
+SEGMENTED = "offset long, mask_rle string"
 
 
 class Predictor(Protocol):
-    """What a model adapter offers: the frames of one task, each with frame_index, timestamp_s and mask_rle."""
+    """A segmenter's model: for one task, items with offset (a frame, from the clip's start) and planes (mask planes of
+    any number of objects, or None). A task has its columns, and prompts if a detector ran."""
 
-    def frames(self, task: dict[str, Any]) -> list[dict[str, Any]]: ...
+    def frames(self, task: dict[str, Any]) -> Iterable[dict[str, Any]]: ...
 
 
-class Operator(Protocol):
-    name: str
+class Finder(Protocol):
+    """A detector's model: an item of DETECTED for each of the task's prompt_frames."""
 
-    def run(self, tasks: DataFrame) -> DataFrame: ...
+    def detect(self, task: dict[str, Any]) -> Iterable[dict[str, Any]]: ...
 
 
 def encode_mask(mask: np.ndarray) -> str:
@@ -34,24 +38,32 @@ def encode_mask(mask: np.ndarray) -> str:
     mask = np.asarray(mask) > 0
     while mask.ndim > 2:
         mask = mask.any(axis=0)
+    return json.dumps({"size": list(mask.shape), "counts": run_lengths(mask)})
+
+
+def run_lengths(mask: np.ndarray) -> list[int]:
+    """Lengths of alternating runs, column by column, the first being of zeros (0 if the first bit is 1)."""
     flat = mask.ravel(order="F")
     edges = np.flatnonzero(np.diff(flat)) + 1
     counts = np.diff(np.concatenate(([0], edges, [flat.size]))).tolist() if flat.size else [0]
-    if flat.size and flat[0]:
-        counts.insert(0, 0)
-    return json.dumps({"size": list(mask.shape), "counts": counts})
+    return [0, *counts] if flat.size and flat[0] else counts
 
 
-class Segmenter:
-    """Runs a predictor, loaded once per worker task, over tasks; failures come back as rows and stop nothing."""
+class Adapter:
+    """Runs a method of a model over tasks, a row for each: clip_id, ok, kinds and message of a failure, rows.
 
-    name = "sam2"
+    The model is loaded once per worker task, by the first task that needs it; failures, also to load, come back as
+    rows and stop nothing.
+    """
 
-    def __init__(self, load: Callable[[], Predictor]):
-        self.load = load
+    def __init__(self, name: str, load: Callable[[], Any], method: str, schema: str):
+        self.name, self.load, self.method, self.schema = name, load, method, schema
+
+    def item(self, found: dict[str, Any]) -> dict[str, Any]:
+        return found
 
     def run(self, tasks: DataFrame) -> DataFrame:
-        load = self.load
+        load, method, item = self.load, self.method, self.item
 
         def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             model = None
@@ -60,29 +72,52 @@ class Segmenter:
                 for task in batch.to_dict("records"):
                     try:
                         model = model or load()
-                        out.append((task["clip_id"], True, "", "", model.frames(task)))
+                        out.append((task["clip_id"], True, [], "", [item(f) for f in getattr(model, method)(task)]))
                     except Exception as error:  # noqa: BLE001  a clip's failure is data
-                        kind = next((c.__name__ for c in type(error).__mro__ if c.__name__ in KNOWN), type(error).__name__)
-                        out.append((task["clip_id"], False, kind, str(error), []))
-                yield pd.DataFrame(out, columns=["clip_id", "ok", "kind", "message", "frames"])
+                        out.append((task["clip_id"], False, ancestry(error), str(error), []))
+                yield pd.DataFrame(out, columns=["clip_id", "ok", "kinds", "message", "rows"])
 
-        return tasks.mapInPandas(work, RESULT)
+        return tasks.mapInPandas(work, result(self.schema))
 
 
-KNOWN = ("TransientIOError", "OOMError", "DecodeError", "InvalidDataError", "ModelMissingError")
+class Segmenter(Adapter):
+    """A predictor's planes, united and run-length encoded in the worker: no plane ever leaves it."""
+
+    def __init__(self, load: Callable[[], Predictor]):
+        super().__init__("sam2", load, "frames", SEGMENTED)
+
+    def item(self, found: dict[str, Any]) -> dict[str, Any]:
+        planes = found["planes"]
+        return {"offset": int(found["offset"]), "mask_rle": None if planes is None or not np.size(planes) else encode_mask(planes)}
+
+
+class Detector(Adapter):
+    def __init__(self, load: Callable[[], Finder]):
+        super().__init__("groundingdino", load, "detect", DETECTED)
 
 
 class Stub:
-    """An operator whose model is absent: no rows, of the right type."""
+    """An operator whose model is absent: all tasks go well, without rows, of the right type."""
 
-    def __init__(self, name: str, schema: str):
+    def __init__(self, name: str, schema: str = schemas.POSES):
         self.name, self.schema = name, schema
 
     def run(self, tasks: DataFrame) -> DataFrame:
-        return tasks.sparkSession.createDataFrame([], f"clip_id string, {self.schema}")
+        return tasks.select("clip_id", F.lit(True).alias("ok"), F.array().cast("array<string>").alias("kinds"), F.lit("").alias("message"), F.array().cast(f"array<struct<{inner(self.schema)}>>").alias("rows"))
+
+
+def inner(schema: str) -> str:
+    """Columns as a struct's fields."""
+    return ", ".join(": ".join(c.split(" ", 1)) for c in schema.split(", "))
+
+
+def result(schema: str) -> str:
+    return f"clip_id string, ok boolean, kinds array<string>, message string, rows array<struct<{inner(schema)}>>"
 
 
-STUBS = {name: Stub(name, schemas.POSES) for name in ("hamer", "foundationpose", "dex_retarget", "fast3r")}
+#: The artifact of each pose operator; retargeting is given the hand poses.
+POSE_ARTIFACTS = {"hamer": "hand_pose", "foundationpose": "object_pose", "dex_retarget": "mapping", "fast3r": "fast3r_pose"}
+STUBS = {name: Stub(name) for name in POSE_ARTIFACTS}
 
 
 class Thresholds:
@@ -93,13 +128,13 @@ class Thresholds:
 
     def frames(self, task):
         plane = np.asarray(task["plane"], np.float64).reshape(self.side, self.side)
-        return [{"frame_index": 0, "timestamp_s": 0.0, "mask_rle": encode_mask(plane > self.threshold)}]
+        return [{"offset": 0, "planes": plane > self.threshold}]
 
 
 def exploded(results: DataFrame) -> DataFrame:
-    """Results that went well, a row per frame."""
-    return results.where("ok").select("clip_id", F.inline("frames"))
+    """Results that went well, a row per item."""
+    return results.where("ok").select("clip_id", F.inline("rows"))
 
 
 def empty(spark: SparkSession, artifact: str) -> DataFrame:
-    return spark.createDataFrame([], schemas.ARTIFACTS[artifact])
+    return spark.createDataFrame([], f"clip_id string, {schemas.ARTIFACTS[artifact]}")

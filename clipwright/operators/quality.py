@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from clipwright.plans.config import MetricsThresholds
+
 
 def empty_rate(empty: Column) -> Column:
     """Share of empty masks; of no masks, 1."""
-    return F.coalesce(F.avg(F.when(empty, F.lit(1.0)).otherwise(F.lit(0.0))), F.lit(1.0))
+    return F.coalesce(F.avg(empty.cast("double")), F.lit(1.0))
 
 
 def empty_rate_counted(empty: Column) -> Column:
@@ -45,3 +47,15 @@ def held_alerts(points: DataFrame, key: str, at_s: str, low: Column, held_s: int
     all_low = F.min(F.col("__low").cast("int")).over(span) == 1
     since = F.min(F.col(at_s).cast("long")).over(Window.partitionBy(key))
     return marked.withColumn("alert", all_low & (F.col(at_s).cast("long") - since >= held_s)).drop("__low")
+
+
+def threshold_alerts(log: DataFrame, masks: DataFrame, gpu: DataFrame, limits: MetricsThresholds) -> DataFrame:
+    """metric, value, alert for each threshold of the configuration: failures among the outcomes in log (status), empty
+    masks among masks (empty), and the GPU's utilisation (device, at_s, used): the share of devices that stayed low for
+    the whole window, of which any is one too many."""
+    ended = log.where(F.col("status").isin("Done", "Failed")).agg(F.coalesce(F.avg((F.col("status") == "Failed").cast("double")), F.lit(0.0)).alias("value"))
+    empty = masks.agg(empty_rate_counted(F.col("empty")).alias("value"))
+    held = held_alerts(gpu, "device", "at_s", F.col("used") < limits.gpu_util_min, limits.gpu_util_window_s).groupBy("device").agg(F.max(F.col("alert").cast("double")).alias("low"))
+    low = held.agg(F.coalesce(F.avg("low"), F.lit(0.0)).alias("value"))
+    row = lambda name, rows, most: rows.select(F.lit(name).alias("metric"), "value", (F.col("value") > most).alias("alert"))
+    return row("failure_rate", ended, limits.failure_rate_max).unionByName(row("empty_mask_rate", empty, limits.empty_mask_rate_max)).unionByName(row("gpu_utilization", low, 0.0))

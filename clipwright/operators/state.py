@@ -39,3 +39,8 @@ def transitions(log: DataFrame, key: str = "clip_key") -> DataFrame:
 def dead_letters(log: DataFrame, max_retries: int = 3) -> DataFrame:
     """Failures without another try left; a clip is listed once for each."""
     return log.where((F.col("status") == "Failed") & (F.col("retry_count") >= max_retries)).select("clip_key", "video_id", F.col("last_error").alias("error"), "updated_at")
+
+
+def lookup(log: DataFrame, key: str, value) -> DataFrame:
+    """The state of one clip; the log is filtered before anything is aggregated."""
+    return latest(log.where(F.col(key) == value), key)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import shutil
-import subprocess
 from collections.abc import Iterator
 
 import pandas as pd
@@ -15,18 +13,15 @@ from clipwright.functions.ids import clip_id
 from clipwright.functions.time import aligned
 from clipwright.operators import manifest
 from clipwright.plans.config import SceneDetectConfig
+from clipwright.sources import video
 
 
 def probe_files(files: DataFrame) -> DataFrame:
     """path, probe: what ffprobe says of each file, run in the workers; a file it cannot read fails the build."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tool = shutil.which("ffprobe")
-        if tool is None:
-            raise RuntimeError("ffprobe is not installed on this worker")
         for batch in batches:
-            said = [subprocess.run([tool, "-v", "error", "-print_format", "json", "-show_streams", "-show_format", p.removeprefix("file:")], check=True, capture_output=True, text=True, timeout=300).stdout for p in batch["path"]]
-            yield pd.DataFrame({"path": batch["path"], "probe": [json.dumps(json.loads(s)) for s in said]})
+            yield pd.DataFrame({"path": batch["path"], "probe": [json.dumps(video.probe(p)) for p in batch["path"]]})
 
     return files.select("path").mapInPandas(run, "path string, probe string")
 

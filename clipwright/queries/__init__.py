@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from clipwright.queries import geometry, manifest, masks, quality, runtime, state
+from clipwright.queries import clips, files, geometry, manifest, masks, quality, runtime, state
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-for _module in (manifest, state, geometry, masks, quality, runtime):
+for _module in (manifest, files, state, geometry, masks, clips, quality, runtime):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.SQL

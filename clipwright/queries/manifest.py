@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from clipwright import fixtures
 from clipwright.fixtures import with_
 from clipwright.functions.ids import clip_id
-from clipwright.functions.time import frames_from_seconds, seconds_from_frames
+from clipwright.functions.time import seconds_from_frames
 from clipwright.operators import manifest, state
 from clipwright.plans.config import PipelineConfig
 
@@ -91,13 +91,15 @@ def resume_schedule(spark, sf_dir):
 
 def clip_range_extract(spark, sf_dir):
     """The frames of clips that lie in a time range, as a predicate on frame numbers."""
-    rows = framed_clips(spark, sf_dir)
-    low, high = frames_from_seconds(F.lit(10.0), F.col("fps")), frames_from_seconds(F.lit(20.0), F.col("fps"))
-    cut = rows.where((F.col("frame_start") <= high) & (F.col("frame_end") >= low))
-    cut = cut.withColumns({"from_frame": F.greatest("frame_start", low), "to_frame": F.least("frame_end", high)})
+    cut = manifest.within(framed_clips(spark, sf_dir), 10.0, 20.0)
     return cut.select("video_id", "line", "from_frame", "to_frame", seconds_from_frames(F.col("from_frame"), F.col("fps")).alias("from_s"))
 
 
+def clip_range_whole(spark, sf_dir):
+    """Without a bound above zero, all frames."""
+    return manifest.within(framed_clips(spark, sf_dir), 0.0, -1.0).select("video_id", "line", "from_frame", "to_frame")
+
+
 def manifest_invariants(spark, sf_dir):
     """Breaches of what every manifest row must satisfy."""
     rows = manifest.expanded(manifest.with_videos(fixtures.clips(spark, sf_dir), fixtures.videos(spark, sf_dir)), 1.0)
@@ -114,7 +116,7 @@ def scene_intervals(spark, sf_dir):
     return manifest.scenes_between(fixtures.videos(spark, sf_dir), cuts, 5.0)
 
 
-QUERIES = {f.__name__: f for f in (scene_intervals, frame_align, clip_tasks, clip_ids, video_dedupe_last, run_manifest, scene_segments, overlap_clamp, fallback_full_clip, min_scene_merge, probe_fps_parse, resume_schedule, clip_range_extract, manifest_invariants)}
+QUERIES = {f.__name__: f for f in (scene_intervals, frame_align, clip_tasks, clip_ids, video_dedupe_last, run_manifest, scene_segments, overlap_clamp, fallback_full_clip, min_scene_merge, probe_fps_parse, resume_schedule, clip_range_extract, clip_range_whole, manifest_invariants)}
 
 _FRAMES = "CASE WHEN fps <= 0 THEN 0 ELSE round_even({0} * fps, 0)::INT END"
 _FRAMED = f"""framed AS (
@@ -187,6 +189,7 @@ SELECT row_number() OVER (ORDER BY end_s - start_s DESC, clip_id, line, part, su
   SELECT *, round_even(10.0 * fps, 0)::INT AS low, round_even(20.0 * fps, 0)::INT AS high FROM framed)
 SELECT video_id, line, greatest(frame_start, low) AS from_frame, least(frame_end, high) AS to_frame, greatest(frame_start, low)::DOUBLE / fps AS from_s
 FROM ranged WHERE frame_start <= high AND frame_end >= low""",
+    "clip_range_whole": f"""{with_('videos', 'clips')}, {_FRAMED} SELECT video_id, line, frame_start AS from_frame, frame_end AS to_frame FROM framed""",
     "manifest_invariants": f"""{with_('videos', 'clips')}, {_EXPANDED}, ended AS (
   SELECT *, frame_start::DOUBLE / fps AS s2, frame_end::DOUBLE / fps AS e2 FROM expanded)
 SELECT count(*) AS rows_seen, count(*) FILTER (NOT (abs(s - s2) < 1e-6 AND abs(e - e2) < 1e-6)) AS off_frame,

@@ -56,7 +56,7 @@ def absolute_frames(spark, sf_dir):
 def found_masks(spark, sf_dir):
     """Frames with a mask: those without one are left out, though counted."""
     rows = fixtures.logits(spark, sf_dir).withColumn("mask", F.when(F.col("object") % 7 == 0, F.lit(None)).otherwise(F.col("plane")))
-    return rows.groupBy("clip").agg(F.count(F.lit(1)).alias("frames"), F.count("mask").alias("with_mask"))
+    return ops.found(rows, "clip", mask="mask")
 
 
 QUERIES = {f.__name__: f for f in (mask_threshold, mask_union, mask_rle, mask_rle_json, mask_area, prompt_frames, frame_scan, absolute_frames, found_masks)}

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from clipwright import fixtures
 from clipwright.fixtures import with_
+from clipwright.operators import metrics, state
 from clipwright.operators import quality as ops
 from clipwright.operators.metrics import histogram
+from clipwright.plans.config import MetricsThresholds
 from clipwright.queries.masks import _counts
 from clipwright.functions.masks import rle_area
 
@@ -22,7 +24,7 @@ def empty_mask_rate(spark, sf_dir):
     rows = _points(spark, sf_dir).where("event_type = 'view'")
     users = _points(spark, sf_dir).select("user_id").distinct()
     met = users.join(rows.select("user_id", (F.col("value") < 10).alias("empty")), "user_id", "left")
-    rate = met.groupBy("user_id").agg(F.round(F.coalesce(F.avg(F.col("empty").cast("double")), F.lit(1.0)), 9).alias("rate"))
+    rate = met.groupBy("user_id").agg(F.round(ops.empty_rate(F.col("empty")), 9).alias("rate"))
     return rate
 
 
@@ -67,9 +69,43 @@ def latency_histogram(spark, sf_dir):
     return rows.select("event_type", F.when(F.col("bound") < 1e9, F.col("bound")).otherwise(F.lit(-1.0)).alias("bound"), "n")
 
 
-QUERIES = {f.__name__: f for f in (latency_histogram, empty_mask_rate, empty_rate_total, empty_rates_of_nothing, distribution_stats, mask_area_distribution, failure_rate_alert, zero_streak, sliding_alert, throughput_buckets)}
+def queue_length(spark, sf_dir):
+    return metrics.queue_lengths(state.latest(fixtures.state_events(spark, sf_dir)))
+
+
+def counters_total(spark, sf_dir):
+    return metrics.totals(fixtures.state_events(spark, sf_dir))
+
+
+def gpu_gauge(spark, sf_dir):
+    """The last value seen of each user, as of a device."""
+    return metrics.gauge(_points(spark, sf_dir).select("user_id", "event_id", "value"), "user_id", at="event_id")
+
+
+def threshold_alerts(spark, sf_dir):
+    """The configuration's thresholds, with users for devices."""
+    points = _points(spark, sf_dir)
+    gpu = points.select(F.col("user_id").alias("device"), "at_s", (F.col("value") / 100).alias("used"))
+    found = ops.threshold_alerts(fixtures.state_events(spark, sf_dir), points.select((F.col("value") < 10).alias("empty")), gpu, MetricsThresholds())
+    return found.withColumn("value", F.round("value", 9))
+
+
+QUERIES = {f.__name__: f for f in (queue_length, counters_total, gpu_gauge, threshold_alerts, latency_histogram, empty_mask_rate, empty_rate_total, empty_rates_of_nothing, distribution_stats, mask_area_distribution, failure_rate_alert, zero_streak, sliding_alert, throughput_buckets)}
 
 SQL = {
+    "queue_length": f"""{with_('state_events')}, latest AS (SELECT clip_key, arg_max(status, seq) AS status FROM state_events GROUP BY clip_key)
+SELECT stage, count(*) FILTER (status = stage) AS queue_length FROM latest, (VALUES ('Pending'), ('Running'), ('Writing')) t(stage) GROUP BY stage""",
+    "counters_total": f"{with_('state_events')} SELECT count(*) FILTER (status = 'Done') AS clips_processed_total, count(*) FILTER (status = 'Failed') AS clip_failures_total FROM state_events",
+    "gpu_gauge": "SELECT user_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id",
+    "threshold_alerts": f"""{with_('state_events')}, timed AS (SELECT user_id, value / 100 < 0.6 AS low, floor(epoch_us(ts) / 1e6)::BIGINT AS s FROM events
+), held AS (
+  SELECT user_id, min(low::INT) OVER (PARTITION BY user_id ORDER BY s RANGE BETWEEN 600 PRECEDING AND CURRENT ROW) = 1 AND s - min(s) OVER (PARTITION BY user_id) >= 600 AS held FROM timed
+), found(metric, value, most) AS (
+  SELECT 'failure_rate', avg((status = 'Failed')::INT), 0.01 FROM state_events WHERE status IN ('Done', 'Failed')
+  UNION ALL SELECT 'empty_mask_rate', avg((value < 10)::INT), 0.2 FROM events
+  UNION ALL SELECT 'gpu_utilization', avg(low), 0.0 FROM (SELECT max(held::INT) AS low FROM held GROUP BY user_id)
+)
+SELECT metric, round(value, 9) AS value, value > most AS alert FROM found""",
     "latency_histogram": """SELECT event_type, b::DOUBLE AS bound, count(*) FILTER (b < 0 OR value <= b) AS n FROM events, (VALUES (5), (10), (20), (40), (-1)) t(b) GROUP BY event_type, b""",
     "empty_mask_rate": """SELECT user_id, round(coalesce(avg((value < 10)::INT) FILTER (event_type = 'view'), 1.0), 9) AS rate FROM events GROUP BY user_id""",
     "empty_rate_total": "SELECT round(coalesce(avg((value < 10)::INT), 1.0), 9) AS rate, round(sum((value < 10)::INT) / greatest(1, count(value)), 9) AS counted FROM events",

@@ -24,8 +24,8 @@ def frame_source(spark, sf_dir):
 
 
 def stub_poses(spark, sf_dir):
-    tasks = fixtures.logits(spark, sf_dir)
-    return STUBS["hamer"].run(tasks).select("clip_id", "frame_index", "timestamp_s")
+    tasks = fixtures.logits(spark, sf_dir).select(F.col("object").cast("string").alias("clip_id"))
+    return exploded(STUBS["hamer"].run(tasks)).select("clip_id", "frame_index", "timestamp_s")
 
 
 def streaming_throughput(spark, sf_dir):

@@ -8,6 +8,7 @@ from clipwright import fixtures
 from clipwright.fixtures import with_
 from clipwright.functions import errors
 from clipwright.operators import manifest, state
+from clipwright.plans.config import BackpressureConfig
 from clipwright.queries.manifest import framed_clips
 
 
@@ -71,10 +72,16 @@ def round_robin(spark, sf_dir):
 
 
 def backpressure_resolve(spark, sf_dir):
-    """In-flight limits: none or zero means twice the workers."""
+    """In-flight limits by the configuration's rule: none or zero means twice the workers."""
+    known = [(g, n, BackpressureConfig(max_in_flight_gpu=g).resolved(n).max_in_flight_gpu) for g in (None, 0, 1, 2, 3, 4) for n in (1, 2, 3, 4)]
+    known = spark.createDataFrame(known, "given int, workers int, in_flight int")
     given = F.when(F.col("s_suppkey") % 3 == 0, F.lit(None)).otherwise((F.col("s_suppkey") % 5).cast("int"))
-    workers = (F.col("s_suppkey") % 4 + 1).cast("int")
-    return fixtures.table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.coalesce(given, F.lit(0)) != 0, given).otherwise(2 * workers).alias("in_flight"))
+    rows = fixtures.table(spark, sf_dir, "supplier").select("s_suppkey", given.alias("wanted"), (F.col("s_suppkey") % 4 + 1).cast("int").alias("n"))
+    return rows.join(F.broadcast(known), F.col("wanted").eqNullSafe(F.col("given")) & (F.col("n") == F.col("workers"))).select("s_suppkey", "in_flight")
+
+
+def state_lookup(spark, sf_dir):
+    return state.lookup(fixtures.state_events(spark, sf_dir), "clip_key", 7)
 
 
 def id_membership(spark, sf_dir):
@@ -83,7 +90,7 @@ def id_membership(spark, sf_dir):
     return state_latest(spark, sf_dir).join(named, "clip_key", "left_semi").groupBy("status").agg(F.count(F.lit(1)).alias("clips"))
 
 
-QUERIES = {f.__name__: f for f in (state_latest, resumable, resumable_failed, insert_pending, resume_semi, dead_letters, classify_errors, retry_schedule, transition_audit, round_robin, backpressure_resolve, id_membership)}
+QUERIES = {f.__name__: f for f in (state_latest, resumable, resumable_failed, insert_pending, resume_semi, dead_letters, classify_errors, retry_schedule, transition_audit, round_robin, backpressure_resolve, id_membership, state_lookup)}
 
 _LATEST = """latest AS (
   SELECT clip_key, arg_min(video_id, seq) AS video_id, arg_max(status, seq) AS status, arg_max(last_error, seq) AS last_error,
@@ -96,6 +103,7 @@ _AGAIN = f"({_PASSING} OR ({_REASON}) IN ('oom', 'cuda_error'))"
 
 SQL = {
     "state_latest": f"{with_('state_events')}, {_LATEST} SELECT * FROM latest",
+    "state_lookup": f"{with_('state_events')}, {_LATEST} SELECT * FROM latest WHERE clip_key = 7",
     "resumable": f"{with_('state_events')}, {_LATEST} SELECT clip_key, status FROM latest WHERE {_OPEN}",
     "resumable_failed": f"{with_('state_events')}, {_LATEST} SELECT clip_key, status FROM latest WHERE status = 'Failed'",
     "insert_pending": f"""{with_('state_events')}

@@ -8,6 +8,9 @@ MASKS = "frame_index long, timestamp_s double, mask_rle string"
 POSES = "frame_index long, timestamp_s double, pose array<float>"
 ARTIFACTS = {"masks": MASKS, "hand_pose": POSES, "object_pose": POSES, "mapping": POSES, "fast3r_pose": POSES}
 
+#: The columns of a clip's task that describe it.
+TASK = ("clip_id", "video_id", "video_path", "start_s", "end_s", "frame_start", "frame_end", "scenedetect_failed", "retry_count")
+
 #: What the columns of manifests and artifacts mean.
 FIELDS = {
     "video_id": "identifier of a video", "clip_id": "identifier of a clip: video, frames, hash", "start_s": "first second, on a frame", "end_s": "last second, on a frame",

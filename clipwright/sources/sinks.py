@@ -8,7 +8,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.plans.config import ParquetConfig
+from clipwright import schemas
+from clipwright.functions.text import ascii_only
+from clipwright.plans.config import CoordinateSpec, ParquetConfig
 
 KEYS = ("run_id", "video_id", "clip_id")
 
@@ -46,11 +48,17 @@ def write_json(spark: SparkSession, path: str, payload: dict) -> None:
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:
-    """Null columns are written, as they are in memory."""
-    rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
+    """Null columns are written, as they are in memory; all is ASCII."""
+    rows.select(ascii_only(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("value")).write.mode("overwrite").text(path)
 
 
 def meta_documents(tasks: DataFrame, fields: dict[str, str], mask_encoding: str = "rle", time_base: str = "seconds") -> DataFrame:
     """clip_id and the JSON text that describes a clip's artifacts."""
     about = F.struct(F.struct(*tasks.columns).alias("clip"), F.create_map(*[F.lit(x) for kv in fields.items() for x in kv]).alias("field_specs"), F.lit(mask_encoding).alias("mask_encoding"), F.lit(time_base).alias("time_base"))
-    return tasks.select("clip_id", F.to_json(about, {"ignoreNullFields": "false"}).alias("meta"))
+    return tasks.select("clip_id", ascii_only(F.to_json(about, {"ignoreNullFields": "false"})).alias("meta"))
+
+
+def write_meta(tasks: DataFrame, clips: DataFrame, root: str, coordinates: CoordinateSpec = CoordinateSpec(), files: int = 8) -> None:
+    """A JSON document for each clip, below its folder of the table `meta`; other clips stay."""
+    rows = meta_documents(tasks, schemas.FIELDS, coordinates.mask_encoding, coordinates.time_base).join(clips, "clip_id")
+    rows.select(*KEYS, F.col("meta").alias("value")).repartition(files, "clip_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).text(f"{root}/meta")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.functions.geometry import EPSILON
+from clipwright.operators.boxes import Tracker
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -53,26 +53,11 @@ def tracks(boxes: DataFrame, threshold: float) -> DataFrame:
     """Object ids over a stream of boxes (clip_key, frame, ord, x1, y1, x2, y2): the rule of the batch tracker, its
     state (the last box of each object) carried from batch to batch. Within a batch boxes are taken in order."""
 
-    def overlap(a: tuple, b: tuple) -> float:
-        wide, high = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
-        both = max(0.0, wide) * max(0.0, high)
-        size = lambda r: max(0.0, r[2] - r[0]) * max(0.0, r[3] - r[1])
-        return both / (size(a) + size(b) - both + EPSILON)
-
     def carry(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
-        now = [tuple(b) for b in held.get[0]] if held.exists else []
+        tracker = Tracker(threshold, [tuple(b) for b in held.get[0]] if held.exists else [])
         rows = pd.concat(list(batches)).sort_values(["frame", "ord"])
-        ids = []
-        for box in rows[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None):
-            rated = [(overlap(last, box), -k) for k, last in enumerate(now)]
-            best = max((r for r in rated if r[0] >= threshold and r[0] > 0), default=None)
-            if best is None:
-                now.append(box)
-                ids.append(len(now))
-            else:
-                now[-best[1]] = box
-                ids.append(1 - best[1])
-        held.update(([list(b) for b in now],))
+        ids = [tracker.take(box) for box in rows[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None)]
+        held.update(([list(b) for b in tracker.boxes],))
         yield pd.DataFrame({"clip_key": key[0], "frame": rows["frame"], "ord": rows["ord"], "object": ids})
 
     return boxes.groupBy("clip_key").applyInPandasWithState(carry, "clip_key long, frame long, ord int, object int", "last array<array<double>>", "append", "NoTimeout")

@@ -3,16 +3,19 @@
 import json
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from clipwright import schemas
-from clipwright.functions.errors import DecodeError, OOMError
-from clipwright.operators.models import STUBS, Segmenter, Thresholds
+from clipwright.functions.errors import DecodeError, InvalidDataError, OOMError, RetryableError, TransientIOError
+from clipwright.operators import manifest
+from clipwright.operators.models import Adapter, Detector, Segmenter, Thresholds
 from clipwright.operators.state import insert_pending, latest, resumable
-from clipwright.plans.config import OperatorConfig, PathsConfig, PipelineConfig, PromptConfig, RetryPolicy, first_existing, load_config, make_run_id
+from clipwright.plans.config import OperatorConfig, PathsConfig, PipelineConfig, PromptConfig, RetryPolicy, first_existing, load_config, make_run_id, operator_configs
 from clipwright.plans.runner import StateLog, run
-from clipwright.sources import frames, manifests, sinks
+from clipwright.scratch import discard, materialize, shared_dir
+from clipwright.sources import frames, manifests, sinks, video
 from clipwright.streaming import alerts
 
 
@@ -76,46 +79,246 @@ def test_artifacts(spark, tmp_path):
     assert meta["clip"]["clip_id"] == "007" and meta["mask_encoding"] == "rle" and "mask_rle" in meta["field_specs"]
 
 
+class MountLost(RetryableError):
+    """A subclass of a user's own."""
+
+
 class Flaky(Thresholds):
-    """Fails by clip: one for good, one out of memory on every other try (by a marker file)."""
+    """Fails by clip: some for good, some always, some on their first try only (by a marker file)."""
+
+    once = {"flaky": RuntimeError("CUDA out of memory"), "reset": RetryableError("socket reset"), "mount": MountLost("gone")}
 
     def __init__(self, folder):
         super().__init__(2, 0.5)
         self.folder = folder
 
     def frames(self, task):
-        if task["clip_id"] == "bad":
+        clip = task["clip_id"]
+        if clip == "bad":
             raise DecodeError("broken")
-        if task["clip_id"] == "never":
+        if clip in ("never", "tired"):
             raise OOMError("always")
-        marker = os.path.join(self.folder, task["clip_id"])
-        if task["clip_id"] == "flaky" and not os.path.exists(marker):
+        marker = os.path.join(self.folder, clip)
+        if clip in self.once and not os.path.exists(marker):
             open(marker, "w").close()
-            raise RuntimeError("CUDA out of memory")
+            raise self.once[clip]
         return super().frames(task)
 
 
+def clip_frame(spark, names, **retries):
+    rows = [(c, "v", 0.0, 1.0, 0, 30, retries.get(c, 0), [0.0, 1.0, 0.0, 1.0]) for c in names]
+    return spark.createDataFrame(rows, "clip_id string, video_id string, start_s double, end_s double, frame_start int, frame_end int, retry_count int, plane array<double>")
+
+
+def one_video(spark):
+    return spark.createDataFrame([("v", "/v.mp4", 1.0, 30.0)], "video_id string, path string, duration_s double, fps double")
+
+
+def settings(tmp_path, run_id="r1", **more):
+    return PipelineConfig(run_id=run_id, paths=PathsConfig(output_root=str(tmp_path / "out"), state_db_path=str(tmp_path / "state")), **more)
+
+
 def test_runner_retries_buries_and_resumes(spark, tmp_path):
-    videos = spark.createDataFrame([("v", "/v.mp4", 1.0, 30.0)], "video_id string, path string, duration_s double, fps double")
-    clips = spark.createDataFrame([(c, "v", 0.0, 1.0, 0, 30, [0.0, 1.0, 0.0, 1.0]) for c in ("good", "bad", "flaky", "never")], "clip_id string, video_id string, start_s double, end_s double, frame_start int, frame_end int, plane array<double>")
+    clips = clip_frame(spark, ("good", "bad", "flaky", "reset", "mount", "never", "tired"), tired=1)
     marks = tmp_path / "marks"
     marks.mkdir()
-    config = PipelineConfig(run_id="r1", paths=PathsConfig(output_root=str(tmp_path / "out"), state_db_path=str(tmp_path / "state")), retry=RetryPolicy(max_retries=2))
+    config = settings(tmp_path, retry=RetryPolicy(max_retries=2), operators=operator_configs({"hamer": {"enabled": True}}))
     waits = []
     segmenter = Segmenter(lambda folder=str(marks): Flaky(folder))
-    assert run(spark, config, videos, clips, segmenter, others={"hand_pose": STUBS["hamer"]}, sleep=waits.append) == "r1"
+    assert run(spark, config, one_video(spark), clips, segmenter, sleep=waits.append, config_path="c.json") == "r1"
     log = StateLog(spark, str(tmp_path / "state"))
     now = {r.clip_id: (r.status, r.last_error, r.retry_count) for r in log.latest().collect()}
-    assert now == {"good": ("Done", "", 0), "flaky": ("Done", "", 0), "bad": ("Failed", "broken", 0), "never": ("Failed", "always", 2)}
-    assert waits == [5.0, 15.0]
+    done = ("Done", "", 0)
+    assert now == {"good": done, "flaky": done, "reset": done, "mount": done, "bad": ("Failed", "broken", 0), "never": ("Failed", "always", 2), "tired": ("Failed", "always", 2)}
+    assert waits == [15.0, 15.0]  # tired came with a count of one
+    running = log.rows().where("status = 'Running'").groupBy("clip_id").agg(F.sort_array(F.collect_list("retry_count")).alias("n")).collect()
+    assert {r.clip_id: r.n for r in running} == {"good": [0], "bad": [0], "flaky": [0, 1], "reset": [0, 1], "mount": [0, 1], "never": [0, 1, 2], "tired": [1, 2]}
     letters = spark.read.schema(schemas.DEAD_LETTERS).parquet(log.letters)
-    assert sorted(r.clip_id for r in letters.collect()) == ["bad", "never"]
+    assert sorted(r.clip_id for r in letters.collect()) == ["bad", "never", "tired"]
     masks = sinks.read_artifact(spark, str(tmp_path / "out"), "masks", schemas.MASKS).collect()
-    assert sorted(r.clip_id for r in masks) == ["flaky", "good"] and json.loads(masks[0].mask_rle) == {"size": [2, 2], "counts": [2, 2]}
-    before = log.latest().where("clip_id = 'good'").head().updated_at
-    run(spark, PipelineConfig(run_id="r2", paths=config.paths, retry=RetryPolicy(max_retries=0)), videos, clips, segmenter, sleep=waits.append)
-    assert log.latest().where("clip_id = 'good'").head().updated_at == before
-    assert letters.sparkSession.read.schema(schemas.DEAD_LETTERS).parquet(log.letters).count() == 4
+    assert sorted(r.clip_id for r in masks) == ["flaky", "good", "mount", "reset"] and json.loads(masks[0].mask_rle) == {"size": [2, 2], "counts": [2, 2]}
+    assert log.lookup("good").status == "Done" and log.lookup("unknown") is None
+    before = log.lookup("good").updated_at
+    run(spark, settings(tmp_path, "r2", retry=RetryPolicy(max_retries=0)), one_video(spark), clips, segmenter, sleep=waits.append)
+    assert log.lookup("good").updated_at == before
+    assert spark.read.schema(schemas.DEAD_LETTERS).parquet(log.letters).count() == 6
+
+
+def test_a_failing_write_buries_its_clip_alone(spark, tmp_path):
+    calls = []
+
+    def write(rows, clips, root, name, parquet):
+        names = sorted(r.clip_id for r in clips.collect())
+        calls.append((name, names))
+        if "c3" in names:
+            raise InvalidDataError("cannot be written")
+        if len(calls) == 1:
+            raise TransientIOError("disk")
+        sinks.write_artifact(rows, clips, root, name, parquet)
+
+    waits = []
+    run(spark, settings(tmp_path), one_video(spark), clip_frame(spark, [f"c{k}" for k in range(6)]), Segmenter(lambda: Thresholds(2, 0.5)), sleep=waits.append, write=write)
+    log = StateLog(spark, str(tmp_path / "state"))
+    assert {r.clip_id: r.status for r in log.latest().collect()} == {f"c{k}": "Failed" if k == 3 else "Done" for k in range(6)}
+    assert "cannot be written" in log.lookup("c3").last_error
+    assert sorted(r.clip_id for r in sinks.read_artifact(spark, str(tmp_path / "out"), "masks", schemas.MASKS).collect()) == ["c0", "c1", "c2", "c4", "c5"]
+    moved = tmp_path / "again"
+    moved.mkdir()
+    calls.clear()
+    run(spark, settings(moved), one_video(spark), clip_frame(spark, ["c0", "c1"]), Segmenter(lambda: Thresholds(2, 0.5)), sleep=waits.append, write=write)
+    assert waits == [5.0] and {r.status for r in StateLog(spark, str(moved / "state")).latest().collect()} == {"Done"}
+
+
+class Pose:
+    def poses(self, task):
+        return [{"frame_index": 3, "timestamp_s": 0.1, "pose": [1.0, float(len(task.get("hand_pose", ())))]}]
+
+
+def test_smoke_from_manifests_to_artifacts(spark, tmp_path):
+    """Manifests in files, prompting from the configuration, all artifacts, the state, and a second run that skips it."""
+    (tmp_path / "v.jsonl").write_text(json.dumps({"video_id": "v", "path": "/videos/\u00e9.mp4", "duration_s": 1.0, "fps": 30.0, "width": 320, "height": 240, "audio": False, "checksum": "x", "split": "train"}) + "\n")
+    (tmp_path / "c.jsonl").write_text("".join(json.dumps({"clip_id": c, "video_id": "v", "start_s": s, "end_s": e, "frame_start": 0, "frame_end": 30, "overlap_s": 0.0, "scenedetect_failed": False, "status": "Pending", "last_error": "", "retry_count": 0}) + "\n" for c, s, e in (("c1", 0.0, 1.0), ("c2", 0.5, 1.0), ("none", 0.0, 0.0))))
+    (tmp_path / "config.json").write_text(json.dumps({"num_gpus": 1, "run_id": "test_run", "paths": {"output_root": str(tmp_path / "out"), "state_db_path": str(tmp_path / "state")}, "operators": {
+        "sam2": {"params": {"prompting": {"prompt_interval_s": 0.5, "min_box_area": 50, "nms_iou": 0.5}}}, "hamer": {"enabled": True}, "dex_retarget": {"enabled": True}}}))
+
+    class Finder:
+        def detect(self, task):
+            for k, frame in enumerate(task["prompt_frames"]):
+                boxes = [] if task["clip_id"] == "none" else [[0.5, 0.5, 0.25, 0.25], [0.5, 0.5, 0.24, 0.24], [0.1, 0.1, 0.01, 0.01]]  # centres and sizes
+                yield {"frame": int(frame), "height": 100, "width": 200, "boxes": boxes, "scores": [0.9, 0.8, 0.7][: len(boxes)], "phrases": ["hand"]}
+
+    class Planes:
+        def frames(self, task):
+            assert [(p["object"], round(p["x1"]), round(p["y2"])) for p in task["prompts"]] == [(1, 75, 62)] * len(task["prompts"])
+            yield {"offset": 0, "planes": np.array([[[0, 1], [0, 0]], [[0, 0], [1, 0]]])}
+            yield {"offset": 1, "planes": None}
+
+    config = load_config(str(tmp_path / "config.json"))
+    videos, clips = (manifests.read_manifest(spark, str(tmp_path / n), s, ordinal=True) for n, s in (("v.jsonl", schemas.VIDEOS), ("c.jsonl", schemas.CLIPS)))
+    poses = {name: Adapter(name, Pose, "poses", schemas.POSES) for name in ("hamer", "dex_retarget", "fast3r")}
+    go = lambda: run(spark, config, videos, clips, Segmenter(Planes), detector=Detector(Finder), operators=poses, config_path="config.json")
+    assert go() == "test_run"
+    out = tmp_path / "out"
+    assert json.loads((out / "run_id=test_run" / "run_manifest.json").read_text())["config_path"] == "config.json"
+    masks = {(r.clip_id, r.frame_index): (r.timestamp_s, json.loads(r.mask_rle)) for r in sinks.read_artifact(spark, str(out), "masks", schemas.MASKS).collect()}
+    assert masks == {("c1", 0): (0.0, {"size": [2, 2], "counts": [1, 2, 1]}), ("c2", 15): (0.5, {"size": [2, 2], "counts": [1, 2, 1]})}
+    hands = sinks.read_artifact(spark, str(out), "hand_pose", schemas.POSES).collect()
+    assert sorted(r.clip_id for r in hands) == ["c1", "c2", "none"]
+    assert [r.pose[1] for r in sinks.read_artifact(spark, str(out), "mapping", schemas.POSES).collect()] == [1.0] * 3  # was given a hand pose
+    assert sinks.read_artifact(spark, str(out), "object_pose", schemas.POSES).collect() == [] and not (out / "fast3r_pose").exists()
+    index = spark.read.parquet(f"{out}/artifact_index").groupBy("artifact").count().collect()
+    assert dict(map(tuple, index)) == {"masks": 3, "hand_pose": 3, "object_pose": 3, "mapping": 3}
+    text = next((out / "meta" / "run_id=test_run" / "video_id=v" / "clip_id=c2").glob("part-*")).read_text()
+    meta = json.loads(text)
+    assert text.isascii() and list(meta["clip"]) == list(schemas.TASK) and meta["clip"]["video_path"] == "/videos/\u00e9.mp4" and meta["mask_encoding"] == "rle"
+    log = StateLog(spark, str(tmp_path / "state"))
+    assert {r.status for r in log.latest().collect()} == {"Done"}
+    seq = log.lookup("c1").updated_at
+    go()
+    assert StateLog(spark, str(tmp_path / "state")).lookup("c1").updated_at == seq
+
+
+def test_gates(spark, tmp_path):
+    """A segmenter switched off gives empty masks; a prompt source that is not the detector's, no prompts."""
+    class Never:
+        def frames(self, task):
+            raise DecodeError("must not run")
+
+        detect = frames
+
+    for k, raw in enumerate(({"sam2": {"enabled": False}}, {"sam2": {"params": {"prompting": {"source": "points"}}}}, {"fast3r": {"enabled": True}, "sam2": {"enabled": False}})):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        run(spark, settings(folder, operators=operator_configs(raw)), one_video(spark), clip_frame(spark, ["c"]), Segmenter(Never), detector=Detector(Never))
+        assert StateLog(spark, str(folder / "state")).lookup("c").status == "Done"
+        assert sinks.read_artifact(spark, str(folder / "out"), "masks", schemas.MASKS).collect() == [] and (folder / "out" / "fast3r_pose").exists() == (k == 2)
+
+
+def test_ids_and_order_of_manifests(spark, tmp_path):
+    with pytest.raises(Exception, match="without clip_id"):
+        run(spark, settings(tmp_path), one_video(spark), clip_frame(spark, ["a", None]), Segmenter(lambda: Thresholds(2, 0.5)))
+    rows = [f'{{"video_id": "v{k}", "path": "old", "fps": 30.0}}' for k in range(3000)]
+    folder = tmp_path / "m.jsonl"
+    folder.mkdir()
+    (folder / "a.json").write_text("\n".join(rows))
+    (folder / "b.json").write_text('{"video_id": "v1", "path": "new", "fps": 30.0}\n{"video_id": "v1", "path": "newest", "fps": 30.0}')
+    read = manifests.read_manifest(spark, str(folder), schemas.VIDEOS, ordinal=True)
+    assert manifest.last_by_key(manifest.in_order(read), "video_id", "__at").where("video_id = 'v1'").head().path == "newest"
+
+
+def test_state_log_is_compacted(spark, tmp_path):
+    log = StateLog(spark, str(tmp_path))
+    clips = spark.createDataFrame([("a", "v"), ("b", "v")], "clip_id string, video_id string")
+    for k in range(5):
+        log.append(clips, "Running", k)
+    os.makedirs(tmp_path / "log" / "batch-000000000099")  # a write that never ended
+    before = sorted(map(tuple, log.rows().collect()))
+    log.compact(3)
+    assert len(log.batches()) == 1 and sorted(map(tuple, log.rows().collect())) == before
+    log = StateLog(spark, str(tmp_path))
+    log.append(clips.where("clip_id = 'a'"), "Done")
+    assert log.seq == 6 and log.rows().count() == 11 and log.lookup("a").status == "Done" and log.lookup("b").retry_count == 4
+
+
+def test_video_tools(spark, tmp_path, monkeypatch):
+    """With stand-ins for the tools: what they are asked, and what comes of their failures."""
+    probe, cut = tmp_path / "bin" / "ffprobe", tmp_path / "bin" / "ffmpeg"
+    probe.parent.mkdir()
+    probe.write_text("#!/bin/sh\ncase \"$*\" in *bad*) exit 1;; esac\necho '{\"streams\": [{\"codec_type\": \"video\", \"r_frame_rate\": \"30000/1001\", \"width\": 320, \"height\": 240, \"nb_frames\": \"30\"}], \"format\": {\"duration\": \"1.0\"}}'\n")
+    cut.write_text('#!/bin/sh\necho "$@" | grep -q bad && exit 1\nfor last; do :; done\necho "$@" > "$last"\n')
+    for f in (probe, cut):
+        f.chmod(0o755)
+    monkeypatch.setenv("PATH", f"{probe.parent}:{os.environ['PATH']}")
+    with video.extracted("file:/v.mp4", 1.0, 2.5) as path:
+        assert open(path).read().startswith("-y -ss 1.0 -to 2.5 -i /v.mp4 -c copy -an") and path != "/v.mp4"
+    assert not os.path.exists(path)
+    for args in (("/v.mp4", 0.0, -1.0), ("/bad.mp4", 1.0, 2.0)):
+        with video.extracted(*args) as path:
+            assert path == args[0]
+    where = str(probe.parent)
+
+    def found(path):
+        os.environ["PATH"] = f"{where}:{os.environ['PATH']}"
+        return video.probe(path)["streams"][0]["nb_frames"]
+
+    assert found("/v.mp4") == "30"
+    files = spark.createDataFrame([("/v.mp4",), ("/bad.mp4",)], "path string")
+    cuts = video.detect_scenes(files, lambda: lambda path: [1.0, 2.5] if "bad" not in path else 1 / 0)
+    assert sorted(map(tuple, cuts.collect())) == [("/v.mp4", 1.0), ("/v.mp4", 2.5)]
+
+
+def test_globs(spark, tmp_path):
+    for name in ("x.mp4", "a/y.mp4", "a/b/z.mp4", "a/n.txt", "c/w.mp4"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"abc" * 10)
+    found = lambda glob: sorted(os.path.relpath(r.path.removeprefix("file:"), tmp_path) for r in manifests.discover(spark, str(tmp_path), glob).collect())
+    for glob in ("**/*.mp4", "a/*.mp4", "*.mp4", "[ac]/?.mp4", "**/b/*", "a/**/*.mp4"):
+        assert found(glob) == sorted(str(p.relative_to(tmp_path)) for p in tmp_path.glob(glob) if p.is_file()), glob
+
+
+def test_scratch_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            applicationId, master = "app", "spark://host:7077"
+
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        Session.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_dir(Session())
+
+
+def test_materialised_tables_can_be_discarded(spark):
+    table = materialize(spark.range(10), "gone")
+    path = table._scratch_path.removeprefix("file:").removeprefix("//")
+    assert table.count() == 10 and os.path.isdir(path)
+    discard(table)
+    assert not os.path.exists(path)
 
 
 def test_frame_source(spark):
