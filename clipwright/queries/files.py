@@ -106,7 +106,7 @@ def json_ascii(spark, sf_dir):
     return fixtures.table(spark, sf_dir, "customer").select("c_custkey", ascii_only(F.to_json(F.struct(text.alias("a")))).alias("json"))
 
 
-def operator_gates(spark, sf_dir):
+def config_gates(spark, sf_dir):
     """Which operators run where a configuration names a region's, with the prompting it asks for."""
     out = []
     for key, name in fixtures.table(spark, sf_dir, "region").select("r_regionkey", "r_name").collect():  # five rows
@@ -116,7 +116,7 @@ def operator_gates(spark, sf_dir):
     return spark.createDataFrame(out, "r_regionkey int, operator string, enabled boolean, nms_iou double, prompt_text string, max_prompts int")
 
 
-QUERIES = {f.__name__: f for f in (manifest_lines, manifest_parquet, last_row_wins, meta_fields, artifact_roundtrip, meta_files, file_checksums, file_discovery, json_ascii, operator_gates)}
+QUERIES = {f.__name__: f for f in (manifest_lines, manifest_parquet, last_row_wins, meta_fields, artifact_roundtrip, meta_files, file_checksums, file_discovery, json_ascii, config_gates)}
 
 _FRAMED = """framed AS (
   SELECT video_id, start_s, round_even(start_s * fps, 0)::INT AS frame_start, round_even(end_s * fps, 0)::INT AS frame_end FROM clips JOIN videos USING (video_id)
@@ -141,6 +141,6 @@ SELECT (clip % 3)::VARCHAR AS video_id, clip::VARCHAR AS clip_id, object AS fram
     "file_checksums": "SELECT r_regionkey::INT AS r_regionkey, sha256(r_name || chr(10)) AS checksum FROM region",
     "file_discovery": "SELECT r_regionkey::INT AS r_regionkey, (length(r_name) + 1)::BIGINT AS length FROM region WHERE r_regionkey BETWEEN 1 AND 3",
     "json_ascii": """SELECT c_custkey, '{"a":"' || c_name || '-\\u00e9\\n\\ud835\\udd18\\""}' AS json FROM customer""",
-    "operator_gates": """SELECT r_regionkey::INT AS r_regionkey, operator, CASE WHEN pos = r_regionkey % 5 THEN r_regionkey % 2 = 0 ELSE pos = 0 END AS enabled, r_regionkey::DOUBLE AS nms_iou, r_name AS prompt_text, 60 AS max_prompts
+    "config_gates": """SELECT r_regionkey::INT AS r_regionkey, operator, CASE WHEN pos = r_regionkey % 5 THEN r_regionkey % 2 = 0 ELSE pos = 0 END AS enabled, r_regionkey::DOUBLE AS nms_iou, r_name AS prompt_text, 60 AS max_prompts
 FROM region, (VALUES ('sam2', 0), ('hamer', 1), ('foundationpose', 2), ('dex_retarget', 3), ('fast3r', 4)) t(operator, pos)""",
 }

@@ -1,5 +1,6 @@
 """The entry module, with and without the parts that may be absent."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -19,3 +20,23 @@ def test_nothing_outside_llm_imports_it():
     for path in (ROOT / "clipwright").rglob("*.py"):
         if "llm" not in path.parts:
             assert "clipwright.llm" not in path.read_text(), path
+
+
+JOB = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})  # the driver's path alone
+from clipwright.queries import QUERIES
+from clipwright.session import build_session
+
+spark = build_session("local[4]", spark__sql__shuffle__partitions="4", spark__ui__enabled="false", spark__driver__memory="2g")
+for name in ("predicted_masks", "track_ids", "mask_rle", "frame_source", "clip_run", "file_checksums"):
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0, name
+    print(name, flush=True)
+"""
+
+
+def test_python_queries_where_workers_lack_the_package(tmp_path):
+    (tmp_path / "job.py").write_text(JOB)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "job.py"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert ran.returncode == 0 and len(ran.stdout.split()) == 6, ran.stdout + ran.stderr[-3000:]
