@@ -7,8 +7,9 @@ import importlib
 
 from clipwright import schemas
 from clipwright.operators.models import Detector, Segmenter
+from clipwright.operators.shells import BoxSegmenter, TextDetector
 from clipwright.plans import manifests as building
-from clipwright.plans.config import load_config
+from clipwright.plans.config import PromptConfig, load_config
 from clipwright.plans.runner import run as run_clips
 from clipwright.session import build_session
 from clipwright.sources import manifests, sinks, video
@@ -38,8 +39,15 @@ def run(args: argparse.Namespace) -> None:
     spark = build_session(args.master)
     videos = manifests.read_manifest(spark, args.video_manifest, schemas.VIDEOS, ordinal=True)
     clips = manifests.read_manifest(spark, args.clip_manifest, schemas.CLIPS, ordinal=True)
-    detector = Detector(named(args.detector)) if args.detector else None
-    print(run_clips(spark, load_config(args.config), videos, clips, Segmenter(named(args.predictor)), detector=detector, config_path=args.config))
+    config = load_config(args.config)
+    params = config.operators["sam2"].params
+    prompt = PromptConfig.load(params.get("prompting") or {})
+    segmenter = Segmenter(named(args.predictor) if args.predictor else lambda: BoxSegmenter(params))
+    if args.detector or not args.predictor:
+        detector = Detector(named(args.detector) if args.detector else lambda: TextDetector(prompt))
+    else:
+        detector = None  # a predictor given by itself finds its own prompts
+    print(run_clips(spark, config, videos, clips, segmenter, detector=detector, config_path=args.config))
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -51,9 +59,10 @@ def build_parser() -> argparse.ArgumentParser:
         make.add_argument(flag, default=default, required=default is None)
     make.set_defaults(call=make_manifest)
     go = commands.add_parser("run", help="manifests to artifacts")
-    for flag in ("--config", "--video-manifest", "--clip-manifest", "--predictor"):
+    for flag in ("--config", "--video-manifest", "--clip-manifest"):
         go.add_argument(flag, required=True)
-    go.add_argument("--detector", default="")
+    for flag in ("--predictor", "--detector"):  # module:factory; the configured models without them
+        go.add_argument(flag, default="")
     go.set_defaults(call=run)
     return parser
 

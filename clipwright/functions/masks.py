@@ -4,8 +4,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def column_major(position: Column, height: int, width: int) -> Column:
-    return (position % width) * height + F.floor(position / width).cast("int")
+def swapped_channels(pixels: Column) -> Column:
+    """Flat pixels of three channels with the first and the third exchanged."""
+    return F.transform(pixels, lambda _, i: F.get(pixels, i + 2 - 2 * (i % 3)))
 
 
 def transposed(plane: Column, height: int, width: int) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clipwright import fixtures
 from clipwright.fixtures import with_
-from clipwright.functions.masks import rle_area, rle_text, run_lengths
+from clipwright.functions.masks import rle_area, rle_text, run_lengths, swapped_channels
 from clipwright.functions.time import stride_of
 from clipwright.operators import masks as ops
 from clipwright.queries.manifest import framed_clips
@@ -59,7 +59,13 @@ def found_masks(spark, sf_dir):
     return ops.found(rows, "clip", mask="mask")
 
 
-QUERIES = {f.__name__: f for f in (mask_threshold, mask_union, mask_rle, mask_rle_json, mask_area, prompt_frames, frame_scan, absolute_frames, found_masks)}
+def channel_swap(spark, sf_dir):
+    """Two pixels of three channels for every box."""
+    rows = fixtures.boxes(spark, sf_dir).select("frame_key", "ord", F.array("x1", "y1", "x2", "y2", "score", "x1").alias("pixels"))
+    return rows.select("frame_key", "ord", F.array_join(F.transform(swapped_channels(F.col("pixels")), lambda v: F.round(v * 100).cast("long").cast("string")), " ").alias("pixels"))
+
+
+QUERIES = {f.__name__: f for f in (channel_swap, mask_threshold, mask_union, mask_rle, mask_rle_json, mask_area, prompt_frames, frame_scan, absolute_frames, found_masks)}
 
 _RUNS = """pixels AS (
   SELECT object, ((p - 1) % 8) * 8 + (p - 1) // 8 AS pos, (plane[p] > 0.15)::INT AS bit FROM logits, range(1, 65) t(p)
@@ -70,6 +76,7 @@ _SPAN = """framed AS (
   SELECT c.video_id, line, start_s, fps, round_even(start_s * fps, 0)::INT AS fs, round_even(end_s * fps, 0)::INT AS fe FROM clips c JOIN videos USING (video_id))"""
 
 SQL = {
+    "channel_swap": f"{with_('boxes')} SELECT frame_key, ord, array_to_string(list_transform([x2, y1, x1, x1, score, y2], lambda v: round(v * 100)::BIGINT::VARCHAR), ' ') AS pixels FROM boxes",
     "mask_threshold": f"{with_('logits')} SELECT clip, object, len(list_filter(plane, lambda v: v > 0)) AS positive FROM logits",
     "mask_union": f"""{with_('logits')}, pixels AS (SELECT object % 100 AS grp, p, bool_or(plane[p] > 0.15) AS bit FROM logits, range(1, 65) t(p) GROUP BY grp, p)
 SELECT grp AS "group", string_agg(bit::INT::VARCHAR, '' ORDER BY p) AS bits FROM pixels GROUP BY grp""",

@@ -10,6 +10,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -72,6 +73,32 @@ def extracted(path: str, start_s: float, end_s: float) -> Iterator[str]:
         os.remove(cut)
 
 
+def read_frames(path: str, start_s: float, end_s: float, stride: int) -> Iterator[tuple[int, float, np.ndarray]]:
+    """(frame from start_s on, its second in the video, RGB image) of every stride-th frame, the last included; a stride
+    below one is one, and the video's end ends it."""
+    stream = next(s for s in probe(path)["streams"] if s.get("codec_type") == "video")
+    over, _, under = str(stream["r_frame_rate"]).partition("/")
+    fps, width, height = float(over) / float(under or 1), int(stream["width"]), int(stream["height"])
+    first, last, step = round(start_s * fps), round(end_s * fps), max(1, stride)
+    chosen = f"select=between(n\\,{first}\\,{last})*not(mod(n-{first}\\,{step}))"
+    command = [tool("ffmpeg"), "-v", "error", "-i", local(path), "-an", "-vf", chosen, "-fps_mode", "passthrough", "-f", "rawvideo", "-pix_fmt", "rgb24", "-"]
+    with subprocess.Popen(command, stdout=subprocess.PIPE) as running:
+        try:
+            offset = 0
+            while len(data := running.stdout.read(width * height * 3)) == width * height * 3:
+                yield offset, (first + offset) / fps, np.frombuffer(data, np.uint8).reshape(height, width, 3)
+                offset += step
+        finally:
+            running.kill()
+
+
+def write_image(path: str, image: np.ndarray) -> None:
+    """An RGB image as a file, in the order of channels that the writer wants."""
+    import cv2
+
+    cv2.imwrite(path, np.ascontiguousarray(image[..., ::-1]))
+
+
 def detect_scenes(files: DataFrame, load: Callable[[], Callable[[str], list[float]]]) -> DataFrame:
     """path, at_s: the cuts a scene detector finds, loaded once per worker task; files it fails on have none, and so
     become one clip marked as not detected."""

@@ -2,15 +2,18 @@
 
 import json
 import os
+import sys
+import types
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from clipwright import schemas
-from clipwright.functions.errors import DecodeError, InvalidDataError, OOMError, RetryableError, TransientIOError
+from clipwright.functions.errors import DecodeError, InvalidDataError, ModelMissingError, OOMError, RetryableError, TransientIOError
 from clipwright.operators import manifest
 from clipwright.operators.models import Adapter, Detector, Segmenter, Thresholds
+from clipwright.operators.shells import BoxSegmenter, TextDetector
 from clipwright.operators.state import insert_pending, latest, resumable
 from clipwright.plans.config import OperatorConfig, PathsConfig, PipelineConfig, PromptConfig, RetryPolicy, first_existing, load_config, make_run_id, operator_configs
 from clipwright.plans.runner import StateLog, run
@@ -287,6 +290,81 @@ def test_video_tools(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, cuts.collect())) == [("/v.mp4", 1.0), ("/v.mp4", 2.5)]
 
 
+@pytest.fixture
+def stand_ins(tmp_path, monkeypatch):
+    """Modules of the names that the shells look for, and tools that give 4 frames of 2 x 1 pixels at 10 a second."""
+    tools = tmp_path / "bin"
+    tools.mkdir()
+    (tools / "ffprobe").write_text("#!/bin/sh\necho '{\"streams\": [{\"codec_type\": \"video\", \"r_frame_rate\": \"10/1\", \"width\": 2, \"height\": 1}]}'\n")
+    (tools / "ffmpeg").write_text('#!/bin/sh\ncase "$*" in *rawvideo*) printf "abcdefghijklmnopqrstuvwx";; *) exit 1;; esac\n')
+    for f in tools.iterdir():
+        f.chmod(0o755)
+    monkeypatch.setenv("PATH", f"{tools}:{os.environ['PATH']}")
+    said = []
+
+    class Model:
+        def __init__(self, config, weights, device):
+            said.append(("model", config, weights, device))
+
+        def predict_with_caption(self, image, text, box_threshold, text_threshold):
+            said.append(("predict", image.shape, int(image[0, 0, 0]), text, box_threshold, text_threshold))
+            return [[0.5, 0.5, 0.2, 0.2]], [0.9], ["hand"]
+
+    class Predictor:
+        def init_state(self, video_path=None, *, wanted="video_path"):
+            said.append(("state", video_path))
+            return "state"
+
+        def add_new_points_or_box(self, state, frame, obj, points):  # the older signature
+            said.append(("prompt", frame, obj, points))
+
+        def propagate_in_video(self, state):
+            yield 0, [1], np.array([[[[0.5, -0.5]]], [[[-1.0, 2.0]]]])
+            yield 1, [1], None
+            yield 2, [1], np.zeros((0, 1, 2))
+
+    def build(config, weights, **extras):
+        said.append(("build", config, weights, sorted(extras)))
+        if extras:
+            raise TypeError("unknown argument")
+        return Predictor()
+
+    names = {"groundingdino": {}, "groundingdino.util": {"inference": types.SimpleNamespace(Model=Model)}, "sam2": {"__file__": str(tmp_path / "sam2" / "__init__.py")}, "sam2.build_sam": {"build_sam2_video_predictor": build}}
+    for name, parts in names.items():
+        module = types.ModuleType(name)
+        module.__dict__.update(parts)
+        monkeypatch.setitem(sys.modules, name, module)
+    return said
+
+
+def test_shells_call_models_as_they_want(stand_ins, tmp_path):
+    prompt = PromptConfig(prompt_text="hand .", box_threshold=0.1, text_threshold=0.2, gd_config="g.py", gd_checkpoint="g.pth", gd_device="cpu")
+    task = {"clip_id": "c", "video_path": "/v.mp4", "start_s": 0.0, "end_s": 1.0, "prompt_frames": [0, 2], "prompts": [{"frame": 2, "object": 1, "x1": 0.0, "y1": 0.0, "x2": 2.0, "y2": 1.0}]}
+    found = list(TextDetector(prompt).detect(task))
+    assert found[0] == {"frame": 0, "height": 1, "width": 2, "boxes": [[0.5, 0.5, 0.2, 0.2]], "scores": [0.9], "phrases": ["hand"]} and [f["frame"] for f in found] == [0, 2]
+    assert stand_ins[:2] == [("model", "g.py", "g.pth", "cpu"), ("predict", (1, 2, 3), ord("a"), "hand .", 0.1, 0.2)]
+    (tmp_path / "sam2" / "configs").mkdir(parents=True)
+    (tmp_path / "sam2" / "configs" / "s.yaml").write_text("")
+    stand_ins.clear()
+    segmenter = BoxSegmenter({"config": "elsewhere/s.yaml", "checkpoint": "w.pt", "device": "cpu"})
+    planes = [(f["offset"], None if f["planes"] is None else f["planes"].reshape(-1, 2).any(axis=0).tolist()) for f in segmenter.frames(task)]
+    assert planes == [(0, [True, True]), (1, None), (2, None)]
+    assert [s[0] for s in stand_ins] == ["build", "build", "state", "prompt"] and stand_ins[1] == ("build", str(tmp_path / "sam2" / "configs" / "s.yaml"), "w.pt", []) and stand_ins[3] == ("prompt", 2, 1, (0.0, 0.0, 2.0, 1.0))
+    with pytest.raises(ModelMissingError, match="config and checkpoint"):
+        list(BoxSegmenter({}).frames(task))
+
+
+def test_a_worker_without_the_model_fails_its_clips_for_good(spark, tmp_path):
+    run(spark, settings(tmp_path), one_video(spark), clip_frame(spark, ["c"]), Segmenter(lambda: BoxSegmenter({})))
+    state = StateLog(spark, str(tmp_path / "state")).lookup("c")
+    assert (state.status, state.retry_count) == ("Failed", 0) and state.last_error.startswith("no segmenter on this worker")
+
+
+def test_pixels(stand_ins):
+    frames = list(video.read_frames("/v.mp4", 1.0, 2.0, 0))
+    assert [(k, t, i.tobytes()) for k, t, i in frames[:2]] == [(0, 1.0, b"abcdef"), (1, 1.1, b"ghijkl")] and len(frames) == 4
+
+
 def test_globs(spark, tmp_path):
     for name in ("x.mp4", "a/y.mp4", "a/b/z.mp4", "a/n.txt", "c/w.mp4"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
@@ -375,6 +453,7 @@ def test_command_line():
 
     args = build_parser().parse_args(["make-manifest", "--input-dir", "i", "--output-dir", "o", "--config", "c.json"])
     assert args.split == "train" and args.glob == "**/*.mp4" and args.call.__name__ == "make_manifest"
+    assert build_parser().parse_args(["run", "--config", "c", "--video-manifest", "v", "--clip-manifest", "m"]).predictor == ""
     with pytest.raises(SystemExit):
         build_parser().parse_args(["run"])
 
