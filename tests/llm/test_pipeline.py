@@ -46,23 +46,39 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
 
 
-def test_near_stage(stages):
-    before, after = stages[2].collect(), {r.doc_id for r in stages[3].collect()}
-    assert stages[3].columns == COLUMNS and after <= {r.doc_id for r in before}
-    sets = {r.doc_id: shingles(r.text) for r in before}
-    ids = sorted(sets)
-    similar = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-    near = defaultdict(list)
+def linked_by_hand(rows):
+    """doc_ids that stay when texts of an exact similarity of 0.8 or more are linked and each group keeps its smallest."""
+    sets = {r.doc_id: shingles(r.text) for r in rows}
+    label, ids = {d: d for d in sets}, sorted(sets)
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    links = 0
     for k, a in enumerate(ids):
         for b in ids[:k]:
-            if similar(a, b) >= 0.5:
-                near[a].append((similar(a, b), b))
-    for a in ids:
-        best = max(near[a], default=(0, None))[0]
-        if best >= 0.9:
-            assert a not in after
-        if best < 0.5:  # like none that comes before it
-            assert a in after
+            p, q = sets[a], sets[b]
+            if min(len(p), len(q)) >= 0.8 * max(len(p), len(q)):
+                common = len(p & q)
+                if common >= 0.8 * (len(p) + len(q) - common):
+                    low, high = sorted((root(a), root(b)))
+                    label[high] = low
+                    links += 1
+    return {d for d in ids if root(d) == d}, links
+
+
+def test_near_stage(stages):
+    after = stages[3].collect()
+    assert stages[3].columns == COLUMNS and {r.doc_id for r in after} == linked_by_hand(stages[2].collect())[0] and len(after) == len({r.doc_id for r in after})
+
+
+def test_near_stage_on_more_documents(spark):
+    docs = corpus_pipeline.STAGES[1][1](spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null"), DIR)
+    docs = materialize(docs, "test-distinct")
+    want, links = linked_by_hand(docs.collect())
+    assert links > 0 and {r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, docs, DIR).collect()} == want
 
 
 def test_mixing_stage(stages):
