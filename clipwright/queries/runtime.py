@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clipwright import fixtures
-from clipwright.fixtures import with_
 from clipwright.operators.models import STUBS, Segmenter, Thresholds, exploded
 from clipwright.queries.masks import ON, SIDE, SQL as MASK_SQL
 from clipwright.sources import frames
