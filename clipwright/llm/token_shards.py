@@ -14,7 +14,7 @@ from clipwright.llm.shared import materialize
 from clipwright.llm.tokens import END, encode, vocabulary_path
 
 #: Bytes of text whose sequences one task puts in order, up to 65,536 tasks.
-SEGMENT = 1 << 26
+SEGMENT = 1 << 24
 
 SHARD = "shard long, first_slot long, sequences long, stride int, payload binary, payload_crc32 long, doc_ids array<long>, parts array<int>, lengths array<int>"
 
