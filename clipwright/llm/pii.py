@@ -159,9 +159,9 @@ def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("uid", "doc_id", dressed(F.col("seeds"), lambda s: s["kind"]).alias("base"), dressed(apart(F.col("shaped"), F.col("seeds")), lambda s: F.lit(None).cast("int")).alias("rest"))
 
 
-def learned(found: DataFrame, *, rounds: int, trust: float, support: float, doubt: float) -> DataFrame:
+def learned(found: DataFrame, *, rounds: int, trust: float, support: float, doubt: float) -> DataFrame | None:
     """(pattern, rows, trust: for each kind, null if it isn't trusted for it) of the trusted patterns after `rounds` turns
-    over the pattern-instance graph; rows is the number of spans a pattern stands around.
+    over the pattern-instance graph, None if there are none; rows is the number of spans a pattern stands around.
 
     Every join is to a table of unique keys that knows how many rows each meets, so that no frequent pattern or
     identifier fills a task.
@@ -182,6 +182,8 @@ def learned(found: DataFrame, *, rounds: int, trust: float, support: float, doub
         against = F.col("known") + doubt * (F.col("n") - F.col("known")) + 1
         rated = known.join(sizes, "pattern").select("pattern", "n", "rows", *[F.when((score(k) / against >= trust) & (score(k) >= support), score(k) / against).alias(f"s{k}") for k in each])
         trusted = materialize(rated.where(F.coalesce(*map(score, each)).isNotNull()), "pii-trusted")
+        if not trusted.head(1):  # nothing new is known, so further turns would find the same
+            return None
         reached = skew_safe_lookup(kept.select("pattern", "what"), trusted, "pattern", "n").groupBy("what").agg(*[F.max(score(k)).alias(f"s{k}") for k in each])
         scores = seeds.unionByName(reached.join(seeds.select("what"), "what", "left_anti"))
     return trusted.select("pattern", "rows", *[F.coalesce(score(k), none).alias(f"s{k}") for k in each])
@@ -212,11 +214,13 @@ def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     found = materialize(entities(docs, id_col, text_col), "pii-entities")
     trusted = learned(found, rounds=rounds, trust=trust, support=support, doubt=doubt)
+    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    if trusted is None:
+        return found.select("doc_id", plain.alias("base"), plain.alias("spans"))
     rest = found.select("uid", F.explode("rest").alias("s")).select("uid", "s.start", "s.end", *patterns("s"))
     met = skew_safe_lookup(rest.select("uid", "start", "end", F.explode("patterns").alias("pattern")).where("pattern is not null"), trusted, "pattern", "rows")
     best = met.groupBy("uid", "start", "end").agg(F.greatest(*[F.max(F.struct(F.coalesce(F.col(f"s{k}"), F.lit(-1.0)).alias("trust"), F.lit(-k).alias("rank"))) for k in range(len(KINDS))]).alias("best"))
     added = best.groupBy("uid").agg(F.collect_list(F.struct("start", (-F.col("best.rank")).alias("kind"), "end")).alias("added"))
-    plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     whole = found.select("uid", "doc_id", plain.alias("base")).join(added, "uid", "left")
     return whole.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:int,kind:int,end:int>>")))).alias("spans"))
 
