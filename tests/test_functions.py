@@ -40,10 +40,25 @@ def test_clip_id(spark):
 
 @pytest.mark.parametrize("kind,message,reason,again", [("OOMError", "", "OOMError", True), ("DecodeError", "out of memory", "DecodeError", False), ("", "CUDA Out Of Memory", "oom", True), ("", "CUDA launch Error", "cuda_error", True), ("", "cuda", "unknown", False), ("ValueError", None, "unknown", False)])
 def test_errors(spark, kind, message, reason, again):
-    k, m = F.lit(kind), F.lit(message).cast("string")
+    k, m = F.array(F.lit(kind)), F.lit(message).cast("string")
     assert one(spark, errors.reason(k, m), errors.retryable(k, m)) == (reason, again)
 
 
+def test_errors_by_descent(spark):
+    class Lost(errors.TransientIOError, OSError):
+        pass
+
+    class Odd(errors.InvalidDataError):
+        pass
+
+    for error, reason, again in ((Lost("x"), "Lost", True), (errors.RetryableError("socket reset"), "RetryableError", True), (Odd("cuda error"), "Odd", False), (KeyError("x"), "unknown", False)):
+        k = F.array(*map(F.lit, errors.ancestry(error)))
+        assert one(spark, errors.reason(k, F.lit(str(error))), errors.retryable(k, F.lit(str(error)))) == (reason, again)
+    assert errors.ancestry(Lost("x")) == ["Lost", "TransientIOError", "RetryableError", "OSError"]
+    nothing = F.lit(None).cast("array<string>")
+    assert one(spark, errors.reason(nothing, F.lit(None).cast("string")), errors.retryable(nothing, F.lit("out of memory"))) == ("unknown", True)
+
+
 def test_delays(spark):
     assert one(spark, *[errors.next_delay(F.lit(a)) for a in (0, 1, 2, 3)]) == (5.0, 5.0, 15.0, 45.0)
 
