@@ -45,10 +45,10 @@ def skew_safe_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, sha
     return found.unionByName(rest)
 
 
-def per_tile(rows: DataFrame, tile: str, tiles: int, work: Callable[[list[dict]], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """work's results over the rows of each tile; tiles are numbered from 0 and dealt to tasks by number, some eight to
+def per_tile(rows: DataFrame, tile: str, tiles: int, work: Callable[[list[dict]], pa.RecordBatch | None], schema: str, each: int = 8) -> DataFrame:
+    """work's results over the rows of each tile; tiles are numbered from 0 and dealt to tasks by number, about `each` to
     a task, so that no task gets many more than another. Tiles are of bounded size, as are the rows of one task."""
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism * 2, min(20_000, tiles // 8))
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism * 2, min(20_000, tiles // each))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []

@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from clipwright.llm.components import connected_components
-from clipwright.llm.simhash import drop_near_copies, fingerprint, linked, near_duplicates, similar, vote
+from clipwright.llm.simhash import counted, drop_near_copies, fingerprint, linked, near_bands, near_counts, near_duplicates, similar, vote
 
 
 def plain(text):
@@ -59,12 +60,31 @@ def test_components_match_brute_force(spark):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
-def test_tiles_lose_no_link(spark):
+def test_counts_of_sections(spark):
+    prints = [0, (1 << 64) - 1, 1 << 63, 0x8000000180000001, *np.random.default_rng(2).integers(0, 1 << 63, 40).tolist()]
+    df = spark.createDataFrame([(k, int(p).to_bytes(8, "big")) for k, p in enumerate(prints)], "k int, fp binary")
+    for bits in ([64], [32, 32], [22, 21, 21]):
+        got = dict(map(tuple, df.select("k", counted(bits)).collect()))
+        for k, p in enumerate(prints):
+            want, weight = 0, 1
+            for n in bits:
+                want, weight, p = want + (p & ((1 << n) - 1)).bit_count() * weight, weight * (n + 1), p >> n
+            assert got[k] == want
+        codes = np.unique(list(got.values()))
+        split = [[c // int(np.prod([b + 1 for b in bits[:i]])) % (bits[i] + 1) for i in range(len(bits))] for c in codes.tolist()]
+        pairs = {tuple(sorted(p)) for p in zip(*(x.tolist() for x in near_counts(codes, bits, 5)))}
+        assert pairs == {(i, j) for j in range(len(codes)) for i in range(j + 1) if sum(abs(x - y) for x, y in zip(split[i], split[j])) <= 5}
+    assert {tuple(p) for p in np.transpose(near_bands(np.array([0, 3, 4, 9]), 4))} == {(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2), (3, 3)}
+
+
+@pytest.mark.parametrize("bits,rows", [([64], 16), ([32, 32], 4), ([22, 21, 21], 2)])
+def test_tiles_lose_no_link(spark, bits, rows):
     rng = np.random.default_rng(3)
     seeds = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     prints = np.unique(np.concatenate([seeds, seeds ^ np.uint64(7), seeds ^ np.uint64(1 << 40), rng.integers(0, 1 << 63, 200, dtype=np.uint64)]))
-    nodes = spark.createDataFrame([(int(p).to_bytes(8, "big"), int(np.bitwise_count(p)), i) for i, p in enumerate(prints)], "fp binary, cell int, rep long")
-    got = {tuple(r) for r in connected_components(linked(nodes, 3, 16)).collect()}
+    nodes = spark.createDataFrame([(int(p).to_bytes(8, "big"), i) for i, p in enumerate(prints)], "fp binary, rep long")
+    nodes = nodes.select("fp", counted(bits).alias("cell"), "rep")
+    got = {tuple(r) for r in connected_components(linked(nodes, 3, rows, lambda codes: near_counts(codes, bits, 3))).collect()}
     near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
     reach = near
     for _ in range(8):
