@@ -120,6 +120,14 @@ POSE_ARTIFACTS = {"hamer": "hand_pose", "foundationpose": "object_pose", "dex_re
 STUBS = {name: Stub(name) for name in POSE_ARTIFACTS}
 
 
+def camera_results(results: DataFrame, tasks: DataFrame) -> DataFrame:
+    """What reconstruction says of each clip: camera_poses, the place of a point cloud (empty where none was made), and
+    what it was asked for."""
+    cloud = F.coalesce(F.col("pointcloud_path"), F.lit("")) if "pointcloud_path" in results.columns else F.lit("")
+    asked = tasks.select("clip_id", "video_path", "start_s", "end_s")
+    return results.where("ok").select("clip_id", F.col("rows").alias("camera_poses"), cloud.alias("pointcloud_path")).join(asked, "clip_id")
+
+
 class Thresholds:
     """A predictor that needs no model: thresholds the planes a task carries."""
 

@@ -75,12 +75,16 @@ def artifact_roundtrip(spark, sf_dir):
 
 
 def meta_files(spark, sf_dir):
-    """A document per clip in its folder, read back with the folder's keys."""
-    root = _place(spark)
-    tasks = _tasks(spark, sf_dir).select(*schemas.TASK).withColumn("video_id", F.col("video_id").cast("string")).where("video_id % 50 = 0").dropDuplicates(["clip_id"])
-    sinks.write_meta(tasks, tasks.select(F.lit("r").alias("run_id"), "video_id", "clip_id"), root)
+    """A document per clip in its folder, read back with the folder's keys; nations for clips, their regions for videos."""
+    root, key = _place(spark), F.col("n_nationkey")
+    rows = fixtures.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("c"), key).alias("clip_id"), F.col("n_regionkey").cast("string").alias("video_id"), F.lit("/é.mp4").alias("video_path"), F.lit(0.0).alias("start_s"), F.lit(1.0).alias("end_s"),
+        (key * 30).cast("int").alias("frame_start"), (key * 30 + 30).cast("int").alias("frame_end"), F.lit(False).alias("scenedetect_failed"), F.lit(0).alias("retry_count"),
+    )
+    sinks.write_meta(rows, rows.select(F.lit("r").alias("run_id"), "video_id", "clip_id"), root)
     back = spark.read.schema("value string, run_id string, video_id string, clip_id string").text(f"{root}/meta")
-    return back.select("run_id", "video_id", "clip_id", F.get_json_object("value", "$.clip.frame_start").cast("int").alias("frame_start"))
+    said = lambda path: F.get_json_object("value", path)
+    return back.select("run_id", "video_id", "clip_id", said("$.clip.frame_start").cast("int").alias("frame_start"), said("$.clip.video_path").alias("video_path"), (F.octet_length("value") == F.length("value")).alias("ascii"))
 
 
 def _written(spark, sf_dir) -> str:
@@ -137,7 +141,7 @@ SQL = {
 ), runs AS (SELECT object, clip, run, count(*) AS length FROM numbered GROUP BY object, clip, run
 ), texts AS (SELECT object, clip, string_agg(length::VARCHAR, ', ' ORDER BY run) AS counts, min(run) AS first FROM runs GROUP BY object, clip)
 SELECT (clip % 3)::VARCHAR AS video_id, clip::VARCHAR AS clip_id, object AS frame_index, '{{"size": [8, 8], "counts": [' || CASE WHEN first = 1 THEN '0, ' ELSE '' END || counts || ']}}' AS mask_rle FROM texts""",
-    "meta_files": f"""{with_('videos', 'clips')}, {_FRAMED} SELECT DISTINCT 'r' AS run_id, video_id::VARCHAR AS video_id, clip_id, frame_start FROM keyed WHERE video_id % 50 = 0""",
+    "meta_files": "SELECT 'r' AS run_id, n_regionkey::VARCHAR AS video_id, 'c' || n_nationkey::VARCHAR AS clip_id, (n_nationkey * 30)::INT AS frame_start, '/é.mp4' AS video_path, true AS ascii FROM nation",
     "file_checksums": "SELECT r_regionkey::INT AS r_regionkey, sha256(r_name || chr(10)) AS checksum FROM region",
     "file_discovery": "SELECT r_regionkey::INT AS r_regionkey, (length(r_name) + 1)::BIGINT AS length FROM region WHERE r_regionkey BETWEEN 1 AND 3",
     "json_ascii": """SELECT c_custkey, '{"a":"' || c_name || '-\\u00e9\\n\\ud835\\udd18\\""}' AS json FROM customer""",
