@@ -44,12 +44,12 @@ def manifest_parquet(spark, sf_dir):
 
 
 def last_row_wins(spark, sf_dir):
-    """Two files, the second much smaller and decisive, as files come by name and not by size."""
+    """Two files with a row for every video, the second much smaller and decisive, as files come by name, not by size."""
     path, rows = _place(spark), _videos(spark, sf_dir).select("video_id", "path", "duration_s", "fps")
-    sinks.write_json_lines(rows.coalesce(1), f"{path}/a")
-    sinks.write_json_lines(rows.where("video_id % 10 = 0").withColumn("duration_s", F.col("duration_s") + 1000).coalesce(1), f"{path}/b")
+    sinks.write_json_lines(rows.withColumn("path", F.concat("path", F.repeat(F.lit("x"), F.lit(300)))).coalesce(1), f"{path}/a")
+    sinks.write_json_lines(rows.withColumn("duration_s", F.col("duration_s") + 1000).coalesce(1), f"{path}/b")
     found = manifests.read_manifest(spark, f"{path}/*", "video_id string, path string, duration_s double, fps double", ordinal=True)
-    return manifest.last_by_key(manifest.in_order(found), "video_id", "__at").select("video_id", "duration_s")
+    return manifest.last_by_key(manifest.in_order(found), "video_id", "__at").select("video_id", "path", "duration_s")
 
 
 def _tasks(spark, sf_dir):
@@ -132,7 +132,7 @@ _VIDEOS = """SELECT video_id::VARCHAR AS video_id, path, duration_s, fps, 320 AS
 SQL = {
     "manifest_lines": f"{with_('videos')} {_VIDEOS}",
     "manifest_parquet": f"{with_('videos')} {_VIDEOS}",
-    "last_row_wins": f"{with_('videos')} SELECT video_id::VARCHAR AS video_id, CASE WHEN video_id % 10 = 0 THEN duration_s + 1000 ELSE duration_s END AS duration_s FROM videos",
+    "last_row_wins": f"{with_('videos')} SELECT video_id::VARCHAR AS video_id, path, duration_s + 1000 AS duration_s FROM videos",
     "meta_fields": f"""{with_('videos', 'clips')}, {_FRAMED} SELECT clip_id, start_s, 0 AS retry_count, 'rle' AS mask_encoding, 'seconds' AS time_base, '{schemas.FIELDS["fps"]}' AS fps_spec FROM keyed""",
     "artifact_roundtrip": f"""{with_('logits')}, pixels AS (
   SELECT object, clip, ((p - 1) % 8) * 8 + (p - 1) // 8 AS pos, (plane[p] > 0.15)::INT AS bit FROM logits, range(1, 65) t(p) WHERE clip % 4 <> 0
