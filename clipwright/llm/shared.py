@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipwright.scratch import discard, materialize, shared_dir
 
-__all__ = ["WORD", "discard", "materialize", "per_tile", "row_hash", "set_aside", "shared_dir", "skew_safe_lookup", "word_count"]
+__all__ = ["WORD", "discard", "distribute", "materialize", "per_tile", "row_hash", "set_aside", "shared_dir", "skew_safe_lookup", "word_count"]
 
 #: A word is a longest run of characters other than the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,6 +46,20 @@ def skew_safe_lookup(rows: DataFrame, table: DataFrame, key: str, size: str, sha
     return found.unionByName(rest)
 
 
+def distribute(spark: SparkSession, pieces: Iterable[bytes], kind: str) -> str:
+    """Write one file, piece by piece, to the shared folder and have Spark hand it to the executors, each of which keeps a
+    copy on its disk; returns its name there, for SparkFiles.get."""
+    name, jvm = f"{uuid.uuid4().hex}.{kind}", spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/files/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    for piece in pieces:
+        for k in range(0, len(piece), 1 << 24):
+            out.write(bytearray(piece[k : k + (1 << 24)]))
+    out.close()
+    spark.sparkContext.addFile(path.toString())
+    return name
+
+
 def per_tile(rows: DataFrame, tile: str, tiles: int, work: Callable[[list[dict]], pa.RecordBatch | None], schema: str, each: int = 8) -> DataFrame:
     """work's results over the rows of each tile; tiles are numbered from 0 and dealt to tasks by number, about `each` to
     a task, so that no task gets many more than another. Tiles are of bounded size, as are the rows of one task."""

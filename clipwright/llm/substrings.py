@@ -18,16 +18,16 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipwright.llm.permute import mix64
-from clipwright.llm.shared import materialize
+from clipwright.llm.shared import discard, distribute, materialize
 
 #: Bytes of text hashed at a time.
 SPAN = 1 << 18
-#: Cells of the sketch in one message, as a power of two.
+#: Cells of the sketch in one message, as a power of two, unless the sketch is very large.
 SLICE = 21
 #: The sketch's rows.
 DEPTH = 2
@@ -157,7 +157,7 @@ def unpacked(blob: bytes) -> np.ndarray:
 
 @dataclass
 class Sketch:
-    """For each row, a bit for every cell counted twice or more. Bounded: 2**bits cells a row, whatever the input."""
+    """For each row, a bit for every cell counted twice or more: 2**bits cells a row, in memory or mapped from a file."""
 
     bits: int
     rows: list[np.ndarray]
@@ -215,13 +215,19 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         yield part << 32 | seq, ids, texts
 
 
-def sketch(texts: DataFrame, width: int, gram: int, bits: int, most: int, salts: int) -> Sketch:
-    """The merged sketch of all anchors: local ones per chunk and slice of cells, merged FAN salts at a time.
+def opened(bits: int, rows: list[np.ndarray | str]) -> Sketch:
+    """A sketch as it came to a worker: its rows themselves, or the names of files that hold them."""
+    return Sketch(bits, [np.memmap(SparkFiles.get(r), np.uint8, "r") if isinstance(r, str) else r for r in rows])
+
+
+def sketch(texts: DataFrame, width: int, gram: int, bits: int, most: int, salts: int, held_bits: int = 28) -> tuple[int, list[np.ndarray | str]]:
+    """The merged sketch of all anchors: local ones per chunk and slice of cells, merged FAN salts at a time. Returns
+    what `opened` takes; rows of more than 2**held_bits cells are files on the executors' disks.
 
     A merged slice is no larger than its cells, so no task holds more than FAN of them, whatever the input.
     """
-    parts = 1 << max(0, bits - SLICE)
-    size = 1 << min(bits, SLICE)
+    cut = max(SLICE, bits - 10)  # at most 1,024 slices a row
+    parts, size = 1 << max(0, bits - cut), 1 << min(bits, cut)
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, bodies in chunks(batches, most):
@@ -267,11 +273,26 @@ def sketch(texts: DataFrame, width: int, gram: int, bits: int, most: int, salts:
         salts = -(-salts // FAN)
         salted = salted.withColumn("salt", F.col("salt") % salts).groupBy("part", "salt").applyInArrow(merged, ddl)
     found = salted.groupBy("part").applyInArrow(bitmap, "part int, bits binary")
+    if bits > held_bits:
+        found = materialize(found, "substring-sketch")
+
+        def pieces(row: int) -> Iterator[bytes]:
+            """A row's slices in order, those without a count included; one at a time passes through the driver."""
+            at = 0
+            for part, blob in found.where((F.col("part") >= row * parts) & (F.col("part") < (row + 1) * parts)).orderBy("part").toLocalIterator():
+                yield from (bytes(size >> 3) for _ in range(part - row * parts - at))
+                yield blob
+                at = part - row * parts + 1
+            yield from (bytes(size >> 3) for _ in range(parts - at))
+
+        names = [distribute(texts.sparkSession, pieces(row), "sketch") for row in range(DEPTH)]
+        discard(found)
+        return bits, names
     rows = [np.zeros((1 << bits) >> 3, np.uint8) for _ in range(DEPTH)]
-    for part, blob in found.toLocalIterator():  # together no more than the sketch's fixed size
+    for part, blob in found.toLocalIterator():  # together no more than 2**held_bits cells a row
         row, p = divmod(part, parts)
         rows[row][p * size >> 3 : (p + 1) * size >> 3] = np.frombuffer(blob, np.uint8)
-    return Sketch(bits, rows)
+    return bits, rows
 
 
 def runs_of(bucket: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -305,7 +326,7 @@ def answered(texts: DataFrame, width: int, gram: int, counted, buckets: int, mos
     """(chunk, bucket, n, sum, mask): which of a chunk's suspects in a bucket occur twice or more in all the texts."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = Sketch(*counted.value)
+        seen = opened(*counted.value)
         for chunk_key, _, bodies in chunks(batches, most):
             chunk = chunk_of(chunk_key, bodies, width, gram)
             _, _, bucket, keys, n = suspects(chunk, seen, buckets)
@@ -336,15 +357,16 @@ def answered(texts: DataFrame, width: int, gram: int, counted, buckets: int, mos
     return asked.groupBy("bucket").applyInArrow(group, "chunk long, bucket int, n long, sum long, mask binary")
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, gram: int = 16, most_bits: int = 28, chunk_words: int = 1 << 19) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 35, gram: int = 16, most_bits: int = 34, held_bits: int = 28, chunk_words: int = 1 << 19) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_text.
 
     Removes every word in a window of `width` words whose word sequence also starts anywhere else in docs, in the same
     row included; windows are judged on the input. kept_text is the other words joined by one space. Null is the empty
     text; shorter texts than a window keep all their words; rows that repeat a doc_id are rows of their own, and copies
     of each other. An empty table gives an empty result; other columns are not looked at. Anchors are runs of `gram`
-    words (at most `width`). `most_bits` bounds the sketch: beyond it more windows take the exact pass, and none is
-    lost. docs must be a plain scan of files (see the module); materialise anything else first.
+    words (at most `width`). The sketch grows with the input: up to 2**held_bits cells a row it is broadcast, beyond it
+    lies on the executors' disks, memory-mapped. `most_bits` bounds it: beyond that more windows take the exact pass, and
+    none is lost. docs must be a plain scan of files (see the module); materialise anything else first.
     """
     spark, gram = docs.sparkSession, min(gram, width)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -353,8 +375,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     bits = min(most_bits, max(16, int(anchors * 8).bit_length()))
     buckets = max(8, size // 6 // (1 << 21))
     salts = max(16, size // 6 // (FAN * chunk_words))
-    merged = sketch(texts, width, gram, bits, chunk_words, salts)
-    counted = spark.sparkContext.broadcast((merged.bits, merged.rows))  # plain arrays: workers need no copy of this package
+    # plain arrays of bounded size, or names: workers need no copy of this package
+    counted = spark.sparkContext.broadcast(sketch(texts, width, gram, bits, chunk_words, salts, held_bits))
     replies = materialize(answered(texts, width, gram, counted, buckets, chunk_words), "substring-replies")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +387,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         left = left.sort_by("nth")
         texts = left.column("text").to_pylist()
         chunk = chunk_of(0, texts, width, gram)
-        at, which, bucket, keys, _ = suspects(chunk, Sketch(*counted.value), buckets)
+        at, which, bucket, keys, _ = suspects(chunk, opened(*counted.value), buckets)
         used, first = np.unique(bucket, return_index=True)
         found = {r["bucket"]: r for r in right.to_pylist()}
         yes = np.zeros(len(keys), bool)

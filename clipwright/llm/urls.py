@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipwright.llm.shared import discard, materialize, shared_dir
+from clipwright.llm.shared import discard, distribute, materialize
 
 #: (host, path, verdict); a rule holds for the host, its subdomains, and paths that start with its path.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -118,17 +117,10 @@ def publish(entries: DataFrame, shard_bytes: int = 1 << 24) -> tuple[np.ndarray,
 
 
 def deliver(spark: SparkSession, contents: Iterable[bytes]) -> tuple[np.ndarray, list[str]]:
-    """Write each shard to the shared folder and have Spark hand it to the executors: first digests and file names."""
-    folder, tag, jvm = f"{shared_dir(spark)}/url-index", uuid.uuid4().hex, spark.sparkContext._jvm
+    """Hand each shard to the executors: first digests and file names."""
     firsts, names = [], []
     for content in contents:
-        names.append(f"{tag}-{len(names)}.index")
-        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{names[-1]}")
-        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
-        for k in range(0, len(content), 1 << 24):
-            out.write(bytearray(content[k : k + (1 << 24)]))
-        out.close()
-        spark.sparkContext.addFile(f"{folder}/{names[-1]}")
+        names.append(distribute(spark, [content], "index"))
         firsts.append(np.frombuffer(content, "<u8", 1, 8))
     order = np.argsort(np.concatenate([*firsts, np.zeros(0, "<u8")]), kind="stable").tolist()
     return np.array([firsts[k][0] for k in order], np.uint64), [names[k] for k in order]

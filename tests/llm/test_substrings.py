@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from clipwright.llm.shared import materialize
-from clipwright.llm.substrings import chunk_of, least, packed, remove_repeats, unpacked, words
+from clipwright.llm.substrings import chunk_of, least, opened, packed, remove_repeats, unpacked, words
 
 
 def brute(rows, width):
@@ -45,6 +45,21 @@ def test_matches_brute_force(spark, bits, chunk, parts, gram):
     assert sorted(map(tuple, got.collect()), key=repr) == brute(data, 8)
 
 
+def test_a_sketch_on_disk_is_the_one_in_memory(spark, monkeypatch):
+    from clipwright.llm import substrings
+
+    monkeypatch.setattr(substrings, "SLICE", 9)
+    data = rows()
+    df = materialize(spark.createDataFrame(data, "doc_id long, text string").repartition(3), "test")
+    held, mapped = (opened(*substrings.sketch(df, 8, 3, 16, 500, 4, held_bits=h)) for h in (28, 15))
+    assert isinstance(mapped.rows[0], np.memmap) and all(np.array_equal(a, b) and a.any() for a, b in zip(held.rows, mapped.rows))
+    few = materialize(spark.createDataFrame([(1, "a b c d e f g h i"), (2, "a b c d e f g h j")], "doc_id long, text string"), "test")
+    held, mapped = (opened(*substrings.sketch(few, 8, 3, 16, 500, 4, held_bits=h)) for h in (28, 15))
+    assert all(np.array_equal(a, b) and a.any() and len(a) == 1 << 13 for a, b in zip(held.rows, mapped.rows))
+    got = remove_repeats(df, width=8, gram=3, held_bits=4, chunk_words=300)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(data, 8)
+
+
 def test_empty(spark):
     assert remove_repeats(materialize(spark.createDataFrame([], "doc_id long, text string"), "test")).collect() == []
 
@@ -71,7 +86,7 @@ def test_sketch_merges_in_rounds_and_never_counts_low(spark, monkeypatch):
     monkeypatch.setattr(substrings, "FAN", 2)
     data = [(i, " ".join(str(k % 97) for k in range(i, i + 60))) for i in range(40)]
     df = materialize(spark.createDataFrame(data, "doc_id long, text string").repartition(6), "test")
-    merged = substrings.sketch(df, 8, 3, 12, 50, 9)
+    merged = opened(*substrings.sketch(df, 8, 3, 12, 50, 9))
     seen = Counter(tuple(t.split()[i : i + 8]) for _, t in data for i in range(53))
     for _, t in data:
         found = chunk_of(0, [t.encode()], 8, 3)
@@ -93,7 +108,7 @@ def test_few_unique_windows_pass_a_small_sketch(spark):
     rnd = random.Random(4)
     texts = [" ".join(str(rnd.randrange(1 << 40)) for _ in range(4000)) for _ in range(10)]
     df = materialize(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), "test")
-    merged = substrings.sketch(df, 35, 16, 15, 20_000, 4)  # fewer cells a row than there are windows
+    merged = opened(*substrings.sketch(df, 35, 16, 15, 20_000, 4))  # fewer cells a row than there are windows
     found = [chunk_of(0, [t.encode()], 35, 16) for t in texts]
     passed = sum(int(merged.repeated(f.anchors)[f.anchor_of].sum()) for f in found)
     assert 39_000 < sum(len(f.anchor_of) for f in found) and passed < 0.05 * 39_000
