@@ -18,11 +18,18 @@ from clipwright.operators.models import run_lengths
 WORD = 62
 
 
+def level(planes: DataFrame, threshold: float):
+    """A threshold in the precision of the planes' values, in which both are compared: a value stored as a float 0.15 is
+    not above 0.15, though it would be in double precision."""
+    kind = planes.schema["plane"].dataType.elementType.simpleString()
+    return F.lit(float(threshold)).cast("float" if kind == "float" else "double")
+
+
 def union(planes: DataFrame, key: str, height: int, width: int, threshold: float = 0.0) -> DataFrame:
     """The planes of a key united bit by bit: key, bits (row by row). Planes travel as numbers of WORD pixels, united
     before and after the shuffle, so any number of planes makes as many rows as one plane has words."""
-    words = -(-height * width // WORD)
-    number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, 1) + (v > threshold).cast("long"))
+    words, above = -(-height * width // WORD), level(planes, threshold)
+    number = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, v: F.shiftleft(a, 1) + (v > above).cast("long"))
     packed = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda w: number(F.slice("plane", w * WORD + 1, F.lit(WORD))))
     united = planes.select(key, F.posexplode(packed).alias("word", "bits")).groupBy(key, "word").agg(F.bit_or("bits").alias("bits"))
     whole = united.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
@@ -52,7 +59,8 @@ def runs(planes: DataFrame, key: str, height: int, width: int, threshold: float
     return rows.mapInArrow(encode, rows.select(key).schema.add("run", "long").add("bit", "integer").add("length", "long"))
 
 
-def bits_by_column(plane, height: int, width: int, threshold: float = 0.0):
+def bits_by_column(plane, height: int, width: int, threshold=0.0):
+    """threshold: a number, compared in double precision, or a column such as `level`."""
     return F.transform(transposed(plane, height, width), lambda v: (v > threshold).cast("int"))
 
 
