@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,14 +39,16 @@ def union(planes: DataFrame, key: str, height: int, width: int, threshold: float
 
 def runs(planes: DataFrame, key: str, height: int, width: int, threshold: float = 0.0) -> DataFrame:
     """Run lengths, column by column, as rows: key, run (from 0, the first being of zeros and absent if there is none),
-    bit, length. Each plane is encoded where it is read; a null plane has no runs."""
+    bit, length. Each plane is encoded where it is read, its values compared in their own precision; a null plane has
+    no runs."""
+    threshold = float(threshold)  # numpy takes a Python number in the values' precision
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, run, bit, length = [], [], [], []
             for name, plane in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if plane.is_valid:
-                    values = plane.values.to_numpy(zero_copy_only=False).astype(np.float64)
+                    values = plane.values.to_numpy(zero_copy_only=False)
                     counts = [(k, n) for k, n in enumerate(run_lengths((values > threshold).reshape(height, width))) if n]
                     keys += [name] * len(counts)
                     run += [k for k, _ in counts]
