@@ -129,13 +129,14 @@ def camera_results(results: DataFrame, tasks: DataFrame) -> DataFrame:
 
 
 class Thresholds:
-    """A predictor that needs no model: thresholds the planes a task carries."""
+    """A predictor that needs no model: thresholds the planes a task carries, in the precision of their values."""
 
     def __init__(self, side: int, threshold: float):
-        self.side, self.threshold = side, threshold
+        self.side, self.threshold = side, float(threshold)
 
     def frames(self, task):
-        plane = np.asarray(task["plane"], np.float64).reshape(self.side, self.side)
+        plane = np.asarray(task["plane"])
+        plane = (plane.astype(np.float64) if plane.dtype == object else plane).reshape(self.side, self.side)
         return [{"offset": 0, "planes": plane > self.threshold}]
 
 
