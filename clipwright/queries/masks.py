@@ -29,7 +29,7 @@ def mask_rle(spark, sf_dir):
 
 def _counts(spark, sf_dir):
     rows = fixtures.logits(spark, sf_dir)
-    return rows.select("object", run_lengths(ops.bits_by_column(F.col("plane"), SIDE, SIDE, ops.level(rows, ON))).alias("counts"))
+    return rows.select("clip", "object", run_lengths(ops.bits_by_column(F.col("plane"), SIDE, SIDE, ops.level(rows, ON))).alias("counts"))
 
 
 def mask_rle_json(spark, sf_dir):

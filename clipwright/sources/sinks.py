@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import time
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,11 @@ from clipwright.plans.config import CoordinateSpec, ParquetConfig
 KEYS = ("run_id", "video_id", "clip_id")
 
 
+def _same(a: str, b: str):
+    """Keys alike in two tables, by their aliases; nulls are a key like any other."""
+    return reduce(and_, (F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in KEYS))
+
+
 def write_artifact(rows: DataFrame, clips: DataFrame, root: str, name: str, parquet: ParquetConfig = ParquetConfig()) -> None:
     """Replace what the table `name` holds of the clips (run_id, video_id, clip_id) by rows; other clips stay.
 
@@ -22,7 +29,7 @@ def write_artifact(rows: DataFrame, clips: DataFrame, root: str, name: str, parq
     table artifact_index says how many rows each clip had when last written, and readers go by that.
     """
     counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    index = clips.select(*KEYS).distinct().join(counts, list(KEYS), "left").select(*KEYS, F.lit(name).alias("artifact"), F.coalesce("n", F.lit(0)).cast("long").alias("row_count"), F.lit(time.time()).alias("written_at"))
+    index = clips.select(*KEYS).distinct().alias("c").join(counts.alias("r"), _same("c", "r"), "left").select(*(f"c.{k}" for k in KEYS), F.lit(name).alias("artifact"), F.coalesce("n", F.lit(0)).cast("long").alias("row_count"), F.lit(time.time()).alias("written_at"))
     rows.write.mode("overwrite").options(**parquet.options()).option("partitionOverwriteMode", "dynamic").partitionBy(*KEYS).parquet(f"{root}/{name}")
     index.write.mode("append").parquet(f"{root}/artifact_index")
 
@@ -32,7 +39,7 @@ def read_artifact(spark: SparkSession, root: str, name: str, schema: str) -> Dat
     keys = ", ".join(f"{k} string" for k in KEYS)
     index = spark.read.schema(f"{keys}, artifact string, row_count long, written_at double").parquet(f"{root}/artifact_index").where(F.col("artifact") == name)
     last = index.groupBy(*KEYS).agg(F.max_by("row_count", "written_at").alias("n")).where("n = 0")
-    return spark.read.schema(f"{schema}, {keys}").parquet(f"{root}/{name}").join(last, list(KEYS), "left_anti")
+    return spark.read.schema(f"{schema}, {keys}").parquet(f"{root}/{name}").alias("a").join(last.alias("i"), _same("a", "i"), "left_anti")
 
 
 def write_json(spark: SparkSession, path: str, payload: dict) -> None:

@@ -61,3 +61,24 @@ def test_values_at_the_threshold(spark, level_planes, name):
     got, want = QUERIES[name](spark, level_planes), con.sql(ORACLE_SQL[name])
     rows = sorted(tuple(r[c] for c in want.columns) for r in got.collect())
     assert rows and rows == sorted(want.fetchall())
+
+
+@pytest.mark.parametrize("odd", [(None, 1), (40, None)], ids=["no_object", "no_clip"])
+def test_artifacts_of_null_keys(spark, tmp_path, odd):
+    """A plane without an object is not lost, one without a clip does not come back after the second write."""
+    plane = [0.1 + 0.1 * (p % 3 == 1) for p in range(64)]
+    rows = [(k, plane, k % 10) for k in range(40)] + [(odd[0], plane, odd[1])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got, want = QUERIES["artifact_roundtrip"](spark, str(tmp_path)), con.sql(ORACLE_SQL["artifact_roundtrip"])
+    rows = sorted((tuple(r[c] for c in want.columns) for r in got.collect()), key=repr)
+    assert rows and rows == sorted(want.fetchall(), key=repr)
+
+
+def test_artifacts_of_a_repeated_object(spark, tmp_path):
+    """Every plane is written once, also those that share an object's id."""
+    rows = [(k // 2, [0.2 * ((k + p) % 3 == 1) for p in range(64)], 1 + k % 3) for k in range(12)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["artifact_roundtrip"](spark, str(tmp_path)).collect()
+    assert sorted((r.frame_index, int(r.clip_id)) for r in got) == sorted((k, clip) for k, _, clip in rows)
